@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from wearcurve.schema import feature_columns
 
 
+_FLOAT_LIMIT = 1e38
+
+
 def fit_metadata(
     df: DataFrame, features: Sequence[str] | None = None, fit_on: Column | None = None
 ) -> DataFrame:
@@ -19,18 +22,26 @@ def fit_metadata(
     merged partial deviations of such a column are only nearly 0, hence the look at its range.
     ``fit_on`` restricts the rows, for example to training units; by default all rows count.
 
-    Features are stacked before they are aggregated: four accumulators per feature in one row would be
-    too wide for generated code, while the stacked form leaves each task with one row per feature.
+    Features are stacked before they are aggregated: all accumulators of all features in one row would
+    be too wide for generated code, while the stacked form leaves each task with one row per feature.
+
+    Values are summed in two parts, rounded to float and the rest. Sums of the first are exact in double
+    and the second are tiny, so the mean does not depend on the order of the rows. That matters where
+    the deviation is small beside the mean.
     """
     features = list(features or feature_columns(df))
     rows = df if fit_on is None else df.filter(fit_on)
     stacked = rows.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in features])).alias("at", "x"))
+    coarse = F.when(F.abs("x") < _FLOAT_LIMIT, F.col("x").cast("float").cast("double")).otherwise(F.col("x"))
     fixed = F.col("lowest") == F.col("highest")
     return (
-        stacked.groupBy("at")
+        stacked.withColumn("coarse", coarse)
+        .groupBy("at")
         .agg(
-            F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"),
-            F.min("x").alias("lowest"), F.max("x").alias("highest"),
+            ((F.sum("coarse") + F.sum(F.col("x") - F.col("coarse"))) / F.nullif(F.count("x"), F.lit(0))).alias("mean"),
+            F.stddev_pop("x").alias("std"),
+            F.min("x").alias("lowest"),
+            F.max("x").alias("highest"),
         )
         .select(
             F.element_at(F.array(*[F.lit(c) for c in features]), F.col("at") + 1).alias("feature"),

@@ -7,9 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearcurve.functions.expressions import identifier, reading
+from wearcurve.functions.expressions import nan_to_null
 from wearcurve.schema import KEYS, RAW_FIELDS
 
+# Ids are read as numbers first, since they may be written as 1.0.
+_LINE_SCHEMA = ", ".join(f"{c} double" for c in RAW_FIELDS) + ", _malformed string"
+_LINE_OPTIONS = {"sep": " ", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
+
 
 @dataclass(frozen=True)
 class ParsedLog:
@@ -22,27 +26,31 @@ class ParsedLog:
 def parse_lines(lines: DataFrame, *, pad_short: bool = True) -> ParsedLog:
     """Column ``value`` -> named, typed columns.
 
-    Blank lines are skipped and outer blanks ignored. A short line is padded with nulls unless
-    ``pad_short`` is off. A line with too many fields, or without a readable unit and cycle, is rejected.
+    Blank lines are skipped and outer blanks ignored; an unreadable field is null. A short line is padded
+    with nulls unless ``pad_short`` is off. A line with too many fields, or without a readable unit and
+    cycle, is rejected.
     """
     width = len(RAW_FIELDS)
-    text = F.trim(F.regexp_replace("value", r"\s", " "))
-    split = (
-        lines.select("value", text.alias("_text"))
-        .filter(F.col("_text") != "")
-        .select("value", F.split("_text", " +").alias("_fields"))
+    inked = lines.filter(F.col("value").rlike(r"\S"))
+    text = inked.select("value", F.trim(F.regexp_replace("value", r"\s+", " ")).alias("_text"))
+    # Inlined rather than selected: the parsed struct is computed once per line, and filters on its
+    # fields stay above it instead of parsing the line again.
+    parsed = text.select(
+        "value", "_text", F.inline(F.array(F.from_csv("_text", F.lit(_LINE_SCHEMA), _LINE_OPTIONS)))
     )
-    typed = split.select(
+    # Only a line the parser objected to is split again, to tell a field too many from a bad one.
+    fields = F.when(F.col("_malformed").isNotNull(), F.size(F.split("_text", " "))).otherwise(width)
+    typed = parsed.select(
         "value",
-        F.size("_fields").alias("_width"),
+        fields.alias("_fields"),
         *[
-            (identifier if name in KEYS else reading)(F.get("_fields", F.lit(i))).alias(name)
-            for i, name in enumerate(RAW_FIELDS)
+            nan_to_null(F.col(c)).try_cast("int").alias(c) if c in KEYS else nan_to_null(F.col(c)).alias(c)
+            for c in RAW_FIELDS
         ],
     )
     reason = (
-        F.when(F.col("_width") > width, "too many fields")
-        .when(F.lit(not pad_short) & (F.col("_width") < width), "too few fields")
+        F.when(F.col("_fields") > width, "too many fields")
+        .when(F.lit(not pad_short) & (F.col("_fields") < width), "too few fields")
         .when(F.col("unit").isNull() | F.col("cycle").isNull(), "no unit or cycle")
     )
     judged = typed.withColumn("reason", reason)
