@@ -1,0 +1,132 @@
+from datetime import datetime
+
+import numpy as np
+import pytest
+
+from wearcurve.models import forest, registry, ridge
+from wearcurve.plans.scoring import score_fleet
+from wearcurve.plans.training import predict, prepare, train
+from wearcurve.schema import KEYS, LABEL
+
+NAMES = ["a", "b", "c", "d", "fixed"]
+GRID = {"maxDepth": (2, 3), "numTrees": (3,), "featureSubsetStrategy": ("sqrt",)}
+
+
+@pytest.fixture(scope="module")
+def sample():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(240, 5)) * [1, 2, 1, 3, 0] + [0, 1, 0, 5, 7]
+    x[:, 2] = 1 - x[:, 0]
+    y = x @ [3, -1, 2, 0.5, 0] + rng.normal(size=240)
+    return x, y
+
+
+@pytest.fixture(scope="module")
+def rows(spark, sample):
+    x, y = sample
+    data = [(i // 12, i % 12 + 1, *map(float, r), float(t)) for i, (r, t) in enumerate(zip(x, y))]
+    return spark.createDataFrame(data, "unit int, cycle int, a double, b double, c double, d double, fixed double, RUL double")
+
+
+def closed_form(x, y, alpha):
+    mean, std = x.mean(0), x.std(0)
+    std = np.where(std < 1e-9, 1.0, std)
+    z = (x - mean) / std
+    w = np.linalg.solve(z.T @ z + alpha * np.eye(z.shape[1]), z.T @ (y - y.mean())) / std
+    return y.mean() - mean @ w, w
+
+
+@pytest.mark.parametrize("alpha", [0.1, 10.0, 100.0])
+def test_ridge_is_the_closed_form(rows, sample, alpha):
+    intercept, weights = closed_form(*sample, alpha)
+    model = ridge.fit(rows, NAMES, alpha).stages[-1]
+    np.testing.assert_allclose(model.coefficients.toArray(), weights, atol=1e-6)
+    assert model.intercept == pytest.approx(intercept, abs=1e-6)
+
+
+def test_moments(spark, rows, sample):
+    from pyspark.sql import functions as F
+
+    x, y = sample
+    u = np.column_stack([np.ones(len(x)), x, y])
+    for r in ridge.moments(rows.withColumn("fold", F.col("cycle") % 2), [*NAMES, LABEL]).collect():
+        part = u[(np.arange(240) % 12 + 1) % 2 == r["fold"]]
+        assert r["value"] == pytest.approx(part[:, r["i"]] @ part[:, r["j"]])
+    with pytest.raises(Exception, match="missing value"):
+        ridge.moments(rows.selectExpr("0 AS fold", "CAST(NULL AS DOUBLE) AS a"), ["a"]).collect()
+
+
+def test_ridge_grid_scores_held_out_folds(rows, sample):
+    from pyspark.sql import functions as F
+
+    x, y = sample
+    folds = (np.arange(240) % 12) % 3
+    folded = rows.withColumn("fold", (F.col("cycle") - 1) % 3)
+    found = ridge.search(folded, NAMES, (0.1, 50.0))
+    for r in found.results.collect():
+        train, test = folds != r["fold"], folds == r["fold"]
+        intercept, w = closed_form(x[train], y[train], r["alpha"])
+        error = y[test] - intercept - x[test] @ w
+        want = 1 - (error**2).sum() / ((y[test] - y[test].mean()) ** 2).sum()
+        assert r["r2"] == pytest.approx(want, abs=1e-9)
+    assert found.alpha == 0.1
+
+
+def test_forest_grid(rows):
+    from pyspark.sql import functions as F
+
+    found = forest.search(rows.withColumn("fold", (F.col("cycle") % 3).cast("int")), NAMES, GRID)
+    table = found.results.collect()
+    assert [r["maxDepth"] for r in table] == [2, 3]
+    best = min(table, key=lambda r: r["mean_rmse"])
+    assert found.params["maxDepth"] == best["maxDepth"]
+    assert found.model.stages[-1].getNumTrees == 3
+    assert len(forest.FOREST_GRID) == 4 and np.prod([len(v) for v in forest.FOREST_GRID.values()]) == 24
+
+
+@pytest.fixture(scope="module")
+def trained(spark, rows, tmp_path_factory):
+    bank = str(tmp_path_factory.mktemp("bank"))
+    ready = prepare(spark, rows)
+    return train(spark, rows, bank=bank, forest_grid=GRID, when=datetime(2025, 1, 2, 3, 4, 5), prepared=ready), ready, bank
+
+
+def test_training_run(spark, trained):
+    run, ready, bank = trained
+    assert ready.features == NAMES
+    metrics = {(r["model"], r["split"]): r for r in run.metrics.collect()}
+    assert set(metrics) == {(m, s) for m in ("Ridge", "RandomForest") for s in ("val", "test")}
+    assert run.selected.first()["model"] == "Ridge" and metrics["Ridge", "val"]["r2"] > 0.8
+    record = registry.latest(spark, bank).first()
+    assert record["model_version"] == run.version == "engine_rul_prediction_2025-01-02"
+    assert record["model_name"] == "RidgeRegression" and record["train_date"] == "2025-01-02 03:04:05"
+    assert record["metrics"]["Selected"]["Val_R2"] == pytest.approx(metrics["Ridge", "val"]["r2"])
+    assert record["metrics"]["RandomForest"]["Test"]["MAE"] == pytest.approx(metrics["RandomForest", "test"]["mae"])
+    assert record["features_used"] == NAMES and record["random_seed"] == 42
+    assert (record["train_size"], record["val_size"], record["test_size"]) == (168, 36, 36)
+
+
+def test_stored_model_predicts_the_same(spark, trained):
+    run, ready, bank = trained
+    loaded = registry.load(bank, run.version)
+    keys = [*KEYS, "RUL_pred"]
+    a = predict(run.ridge.model, ready.rows).select(*keys).orderBy(*KEYS).collect()
+    assert a == predict(loaded, ready.rows).select(*keys).orderBy(*KEYS).collect()
+
+
+def test_scored_fleet(spark, trained, tmp_path):
+    run, ready, bank = trained
+    scored = score_fleet(spark, ready.rows, bank, n=7, out=str(tmp_path))
+    assert scored.predictions.columns == ["cycle", *NAMES, LABEL, "unit", "RUL_pred"]
+    assert scored.predictions.select("unit").distinct().count() == 7 and scored.predictions.count() == 84
+    assert (tmp_path / "oot_predictions_ridgeregression.parquet").exists()
+    assert scored.metrics.first()["n_rows"] == 84
+
+
+def test_latest_record(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        registry.latest(spark, str(tmp_path))
+    for version, date in (("v1", "2025-01-01"), ("v3", "2025-01-01"), ("v2", "2025-02-01")):
+        (tmp_path / f"{version}_meta.json").write_text(
+            '{\n "model_version": "%s",\n "train_date": "%s",\n "features_used": ["a"]\n}' % (version, date))
+    assert registry.latest(spark, str(tmp_path)).first()["model_version"] == "v3"

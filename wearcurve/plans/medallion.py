@@ -17,7 +17,7 @@ from wearcurve.operators.features import engineer
 from wearcurve.operators.normalize import apply_metadata, fit_metadata
 from wearcurve.operators.quality import duplicate_keys, integrity_by_layer
 from wearcurve.schema import EXPECTED_UNITS, RAW_FIELDS, feature_columns
-from wearcurve.sources.sinks import base_name, write_bronze, write_csv, write_parquet
+from wearcurve.sources.sinks import base_name, shared_dir, write_bronze, write_csv, write_parquet
 from wearcurve.sources.tables import load, read_many
 from wearcurve.sources.text_log import read_raw
 
@@ -53,22 +53,23 @@ def build_gold(
 ) -> Gold:
     """Gold table, feature store, label store and normalisation metadata.
 
-    Without ``out`` all four are lazy; statistics and output share one shuffle. With ``out`` the
-    unscaled features are written once, so the shuffle runs once however often gold is used, and the
-    two stores are column-pruned scans of the written gold table.
+    The unscaled features are written first: statistics and scaling both need them, and this way the
+    panel is shuffled and sorted once, and the four outputs are plain scans of that table. It goes to
+    ``out`` or, without one, to the shared folder, and the outputs are then left lazy.
     """
-    panel = engineer(load(spark, source), include_lifecycle=include_lifecycle, **blocks)
+    staging = out or shared_dir(spark, "gold")
+    engineered = engineer(load(spark, source), include_lifecycle=include_lifecycle, **blocks)
+    panel = write_parquet(engineered, posixpath.join(staging, "engineered.parquet"))
     features = feature_columns(panel)
+    metadata = fit_metadata(panel, features, fit_on)
     if out is None:
-        metadata = fit_metadata(panel, features, fit_on)
         full = apply_metadata(panel, metadata, features)
         return Gold(full, stores.feature_store(full), stores.label_store(full), metadata)
 
-    panel = write_parquet(panel, posixpath.join(out, "engineered.parquet"))
     metadata_path = posixpath.join(out, "feature_metadata.csv")
     in_order = F.array_position(F.array(*[F.lit(c) for c in features]), F.col("feature"))
     # One row per feature, so one sorted file.
-    write_csv(fit_metadata(panel, features, fit_on).orderBy(in_order), metadata_path, single_file=True)
+    write_csv(metadata.orderBy(in_order), metadata_path, single_file=True)
     metadata = spark.read.schema(METADATA_SCHEMA).option("header", True).csv(metadata_path)
     full = write_parquet(apply_metadata(panel, metadata, features), posixpath.join(out, "gold_full.parquet"))
     return Gold(
@@ -91,15 +92,15 @@ def run(
     single_file: bool = False,
 ) -> dict[str, DataFrame]:
     """Every layer as a DataFrame, by name. With ``out`` each layer is written and the next reads it."""
-    parsed = {path: read_raw(spark, path) for path in raw_paths}
-    if not parsed:
+    if not raw_paths:
         raise ValueError("no raw file given")
+    names = [base_name(p) for p in raw_paths]
+    if out is not None and len(set(names)) < len(names):
+        raise ValueError(f"raw files share a base name: {sorted(names)}")
+    parsed = {path: read_raw(spark, path) for path in raw_paths}
     if out is None:
         bronze = [p.rows for p in parsed.values()]
     else:
-        names = [base_name(p) for p in parsed]
-        if len(set(names)) < len(names):
-            raise ValueError(f"raw files share a base name: {sorted(names)}")
         bronze_dir = posixpath.join(out, "bronze")
         bronze = read_many(
             spark,
