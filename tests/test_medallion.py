@@ -94,3 +94,15 @@ def test_split_and_folds_move_no_rows(spark, layers):
         text = df._jdf.queryExecution().executedPlan().toString()
         main = "\n".join(x for x in text.split("\n") if not x.lstrip().startswith(":"))
         assert "Exchange" not in main.split("Subquery")[0] and "Sort [" not in main.split("Subquery")[0]
+
+
+def test_statistics_of_the_training_units_only(spark, layers):
+    from wearcurve.operators.normalize import fit_metadata
+    from wearcurve.operators.split import split_rows
+
+    cleaned = layers[0]["cleaned"]
+    gold = build_gold(spark, cleaned, fit_on="train")
+    got = {r["feature"]: r["mean"] for r in gold.metadata.collect()}
+    want = {r["feature"]: r["mean"] for r in fit_metadata(split_rows(cleaned, "train")).collect()}
+    assert len(got) == 35 and all(got[c] == want[c] for c in want)
+    assert gold.full.count() == cleaned.count()

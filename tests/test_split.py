@@ -51,7 +51,7 @@ def test_rows_at_positions(spark):
     counts = rows.groupBy("hi").agg(F.count(F.lit(1)).alias("_n"))
     asked = [1, 2, 22, 23, 100, len(values), len(values) + 1, 0]
     targets = spark.createDataFrame([(i, p) for i, p in enumerate(asked)], "target int, position int")
-    got = {r["target"]: r["v"] for r in rows_at(counts, rows, targets, ["hi", "v"]).collect()}
+    got = {r["target"]: r["v"] for r in rows_at(counts, rows, targets, ["hi", "v"], n_targets=8).collect()}
     assert got == {i: values[p - 1] for i, p in enumerate(asked) if 1 <= p <= len(values)}
 
 
@@ -62,6 +62,16 @@ def test_bootstrap(spark):
     tests = order_of(lengths)[int(40 * 0.85):]
     pick = lambda i: int(hashlib.md5(f"42:{i}".encode()).hexdigest()[:8], 16) % len(tests)
     assert draws == {i: tests[pick(i)] for i in range(1, 26)}
-    fleet = split.bootstrap_rows(df, split.bootstrap_draws(df, 25))
-    got = Counter(r["unit"] for r in fleet.collect())
+    got = Counter(r["unit"] for r in split.bootstrap(df, 25).collect())
     assert got == {f"OOT_{i}": lengths[u] for i, u in draws.items()}
+
+
+def test_tables_beyond_the_limit_are_not_hinted(spark, monkeypatch):
+    from wearcurve.operators import positions
+
+    df = small(spark, [(u, 1, 0.0) for u in range(9)])
+    want = sorted(map(tuple, split.bootstrap(df, 5).collect()))
+    monkeypatch.setattr(positions, "MAX_BROADCAST_ROWS", 3)
+    assert sorted(map(tuple, split.bootstrap(df, 5).collect())) == want
+    assert "broadcast" not in positions.bounded(df, 4)._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in positions.bounded(df, 3)._jdf.queryExecution().analyzed().toString()

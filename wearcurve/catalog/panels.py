@@ -78,7 +78,8 @@ def panel_sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 def events_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One user is one unit; its events in time order are its cycles."""
     events = table(spark, sf_dir, "events")
-    hour = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 3_600_000_000)
+    # From calendar fields, so that no session time zone can put hours out of order.
+    hour = F.datediff("ts", F.lit("1970-01-01").cast("date")) * 24 + F.hour("ts")
     return number_rows(events, "user_id", ("ts",), hour).select(
         F.col("user_id").cast("int").alias("unit"),
         "cycle",

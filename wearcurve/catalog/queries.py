@@ -367,8 +367,7 @@ def cv_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def oot_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = features.add_rul(cleaned_table(spark, sf_dir))
-    fleet = split.bootstrap_rows(gold, split.bootstrap_draws(gold))
-    return tidy(fleet.select("draw", "unit", "cycle", "T24", LABEL))
+    return tidy(split.bootstrap(gold).select("draw", "unit", "cycle", "T24", LABEL))
 
 
 # Quality of predictions

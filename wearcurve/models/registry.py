@@ -42,38 +42,35 @@ def build_record(
     names: Mapping[str, str] = MODEL_NAMES,
 ) -> DataFrame:
     """One nested row. ``metrics``: model, split, mae, rmse, r2; ``sizes``: split, n_rows."""
-    of = lambda model, split: (F.col("model") == model) & (F.col("split") == split)
     scores = F.struct(F.col("mae").alias("MAE"), F.col("rmse").alias("RMSE"), F.col("r2").alias("R2"))
 
-    def block(model: str) -> Column:
-        pick = [F.max(F.when(of(model, s), scores)).alias(s.capitalize()) for s in ("val", "test")]
-        return F.struct(*pick).alias(model)
-
-    best, other = PREFERENCE
-    table = metrics.agg(F.struct(block("Ridge"), block("RandomForest")).alias("m"))
-    rows = sizes.agg(*[
-        F.max(F.when(F.col("split") == s, F.col("n_rows"))).alias(f"{s}_size") for s in ("train", "val", "test")
-    ])
-    wins = F.col(f"m.{best}.Val.R2") >= F.col(f"m.{other}.Val.R2")
-    take = lambda path: F.when(wins, F.col(f"m.{best}{path}")).otherwise(F.col(f"m.{other}{path}"))
-    name = F.when(wins, names[best]).otherwise(names[other])
-    return (
-        table.withColumn("sizes", rows.select(F.struct("*")).scalar())
-        .select(
-            name.alias("model_name"),
-            F.lit(version_name(when)).alias("model_version"),
-            F.lit(f"{when:%Y-%m-%d %H:%M:%S}").alias("train_date"),
-            F.struct(
-                "m.Ridge",
-                "m.RandomForest",
-                F.struct(
-                    name.alias("Model"), take(".Val.R2").alias("Val_R2"), take(".Test.R2").alias("Test_R2")
-                ).alias("Selected"),
-            ).alias("metrics"),
-            F.array(*[F.lit(c) for c in features]).alias("features_used"),
-            "sizes.train_size", "sizes.val_size", "sizes.test_size",
-            F.lit(seed).alias("random_seed"),
-        )
+    def held_out(model: str, split: str) -> Column:
+        here = (F.col("model") == model) & (F.col("split") == split)
+        return F.max(F.when(here, scores)).alias(split.capitalize())
+
+    def size(split: str) -> Column:
+        return F.max(F.when(F.col("split") == split, F.col("n_rows"))).alias(f"{split}_size")
+
+    table = metrics.agg(*[F.struct(held_out(m, "val"), held_out(m, "test")).alias(m) for m in ("Ridge", "RandomForest")])
+    counts = sizes.agg(F.struct(size("train"), size("val"), size("test")))
+    first, second = PREFERENCE
+    chosen = F.col(f"{first}.Val.R2") >= F.col(f"{second}.Val.R2")
+    name = F.when(chosen, names[first]).otherwise(names[second]).alias("Model")
+
+    def r2(split: str) -> Column:
+        value = F.when(chosen, F.col(f"{first}.{split}.R2")).otherwise(F.col(f"{second}.{split}.R2"))
+        return value.alias(f"{split}_R2")
+
+    return table.withColumn("sizes", counts.scalar()).select(
+        name.alias("model_name"),
+        F.lit(version_name(when)).alias("model_version"),
+        F.lit(f"{when:%Y-%m-%d %H:%M:%S}").alias("train_date"),
+        F.struct("Ridge", "RandomForest", F.struct(name, r2("Val"), r2("Test")).alias("Selected")).alias("metrics"),
+        F.array(*[F.lit(c) for c in features]).alias("features_used"),
+        "sizes.train_size",
+        "sizes.val_size",
+        "sizes.test_size",
+        F.lit(seed).alias("random_seed"),
     )
 
 

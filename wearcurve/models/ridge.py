@@ -108,42 +108,69 @@ class RidgeSearch:
     results: DataFrame
 
 
-def grid(df: DataFrame, features: Sequence[str], alphas: Sequence[float] = ALPHAS, *, label: str = LABEL, fold: str = "fold"):
-    """``alpha, fold, r2`` of every penalty on every held-out fold."""
+def _fold_squares(df: DataFrame, features: Sequence[str], label: str, fold: str) -> dict[int, np.ndarray]:
     columns = [*features, label]
-    by_fold = _squares(moments(df, columns, fold), len(columns) + 1, fold)
-    total = sum(by_fold.values())
-    scores = [
+    return _squares(moments(df, columns, fold), len(columns) + 1, fold)
+
+
+def _scores(squares: dict[int, np.ndarray], alphas: Sequence[float]) -> list[tuple[float, int, float]]:
+    total = sum(squares.values())
+    return [
         (float(alpha), int(k), float(_r2(held_out, _solve(total - held_out, alpha))))
         for alpha in alphas
-        for k, held_out in sorted(by_fold.items())
+        for k, held_out in sorted(squares.items())
     ]
+
+
+def _results(df: DataFrame, scores: list[tuple[float, int, float]]) -> DataFrame:
     return df.sparkSession.createDataFrame(scores, "alpha double, fold int, r2 double")
 
 
+def grid(
+    df: DataFrame, features: Sequence[str], alphas: Sequence[float] = ALPHAS, *, label: str = LABEL, fold: str = "fold"
+) -> DataFrame:
+    """``alpha, fold, r2`` of every penalty on every held-out fold."""
+    return _results(df, _scores(_fold_squares(df, features, label, fold), alphas))
+
+
 def mean_scores(results: DataFrame) -> DataFrame:
     return results.groupBy("alpha").agg(F.avg("r2").alias("mean_r2"))
 
 
-def fit(df: DataFrame, features: Sequence[str], alpha: float = 1.0, *, label: str = LABEL) -> PipelineModel:
+def fit(
+    df: DataFrame,
+    features: Sequence[str],
+    alpha: float = 1.0,
+    *,
+    label: str = LABEL,
+    size: tuple[float, float] | None = None,
+) -> PipelineModel:
     """Ridge with penalty ``alpha`` on standardised features and a free intercept.
 
-    MLlib divides the loss by n and standardises the label too, hence the rescaled penalty.
+    MLlib divides the loss by n and standardises the label too, hence the rescaled penalty. ``size`` is
+    the row count and the label's deviation, counted here when not known.
     """
-    size = df.agg(F.count(label).alias("n"), F.stddev_pop(label).alias("std")).first()
+    n, std = size or df.agg(F.count(label), F.stddev_pop(label)).first()
     regression = LinearRegression(
         featuresCol=VECTOR, labelCol=label, predictionCol="prediction", solver="normal",
-        elasticNetParam=0.0, standardization=True, regParam=alpha * (size["std"] or 1.0) / size["n"],
+        elasticNetParam=0.0, standardization=True, regParam=alpha * (std or 1.0) / n,
     )
     return Pipeline(stages=[assembler(features), regression]).fit(df)
 
 
-def search(df: DataFrame, features: Sequence[str], alphas: Sequence[float] = ALPHAS, *, label: str = LABEL) -> RidgeSearch:
+def search(
+    df: DataFrame, features: Sequence[str], alphas: Sequence[float] = ALPHAS, *, label: str = LABEL, fold: str = "fold"
+) -> RidgeSearch:
     """Best mean R² over the folds, earlier penalties first on a tie, then a fit on all rows."""
-    results = grid(df, features, alphas, label=label)
-    score = {r["alpha"]: r["mean_r2"] for r in mean_scores(results).collect()}
-    best = max(alphas, key=lambda a: score[float(a)])
-    return RidgeSearch(fit(df, features, best, label=label), float(best), results)
+    squares = _fold_squares(df, features, label, fold)
+    scores = _scores(squares, alphas)
+    mean = {a: np.mean([r2 for alpha, _, r2 in scores if alpha == float(a)]) for a in alphas}
+    best = max(alphas, key=mean.__getitem__)
+    total = sum(squares.values())
+    n = total[0, 0]
+    std = np.sqrt(max(total[-1, -1] / n - (total[0, -1] / n) ** 2, 0.0))
+    model = fit(df, features, best, label=label, size=(float(n), float(std)))
+    return RidgeSearch(model, float(best), _results(df, scores))
 
 
 def coefficients(model: PipelineModel, features: Sequence[str], df: DataFrame) -> DataFrame:

@@ -14,13 +14,23 @@ from pyspark.sql import functions as F
 DIGIT_BITS = 16
 
 
-def rows_at(counts: DataFrame, rows: DataFrame, targets: DataFrame, levels: Sequence[str]) -> DataFrame:
+# A broadcast hint is given only to tables with at most this many rows by construction.
+MAX_BROADCAST_ROWS = 1 << 20
+
+
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """Hint a broadcast of a table known to hold ``rows`` rows; beyond the limit Spark picks the join."""
+    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
+
+
+def rows_at(
+    counts: DataFrame, rows: DataFrame, targets: DataFrame, levels: Sequence[str], *, n_targets: int
+) -> DataFrame:
     """``targets(target, position)`` -> ``(target, *levels)`` of the row at each 1-based position.
 
     ``counts`` holds ``_n`` rows per value of all levels but the last. ``rows`` holds all levels and is
     read only in the groups that contain a target. Levels sort as the total order does and together
-    identify a row. The number of targets is a parameter of the caller, not a property of the data.
-    A position outside the data yields no row.
+    identify a row. ``n_targets`` is a parameter of the caller, not a property of the data. A position outside the data yields no row.
     """
     first, *deeper = levels
     # The first level has no parent to join on. Totals and targets become one short ordered sequence
@@ -51,7 +61,7 @@ def rows_at(counts: DataFrame, rows: DataFrame, targets: DataFrame, levels: Sequ
         source = rows.withColumn("_n", F.lit(1)) if level == levels[-1] else counts
         upto = Window.partitionBy("target").orderBy(level).rowsBetween(Window.unboundedPreceding, 0)
         found = (
-            source.join(F.broadcast(found), parents)
+            source.join(bounded(found, n_targets), parents)
             .groupBy("target", "_position", *parents, level)
             .agg(F.sum("_n").alias("_size"))
             .withColumn("_end", F.sum("_size").over(upto))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wearcurve.functions.expressions import digest_number, seeded_digest
-from wearcurve.operators.positions import DIGIT_BITS, rows_at
+from wearcurve.operators.positions import DIGIT_BITS, bounded, rows_at
 from wearcurve.schema import OOT_UNITS, SEED, TRAIN_SHARE, VAL_SHARE
 
 
@@ -51,7 +51,7 @@ def assign_split(
             )
         )
     )
-    cuts = rows_at(counts, units, targets, ["_lead", "_order"]).agg(
+    cuts = rows_at(counts, units, targets, ["_lead", "_order"], n_targets=2).agg(
         F.struct(
             F.max(F.when(F.col("target") == "train", F.col("_order"))).alias("train"),
             F.max(F.when(F.col("target") == "val", F.col("_order"))).alias("val"),
@@ -102,7 +102,7 @@ def assign_folds(df: DataFrame, k: int = 3, *, unit: str = "unit", cycle: str =
         "target",
         (i * F.floor(n / k) + F.least(i.cast("bigint"), n % k)).alias("position"),
     )
-    ends = rows_at(counts, keyed, targets, ["_unit_lead", unit, "_cycle_lead", cycle]).agg(
+    ends = rows_at(counts, keyed, targets, ["_unit_lead", unit, "_cycle_lead", cycle], n_targets=k - 1).agg(
         F.sort_array(F.collect_list(F.struct("target", F.struct(unit, cycle).alias("end"))))
     )
     place = F.struct(unit, cycle)
@@ -127,17 +127,16 @@ def bootstrap_draws(
             (start + digest_number(seeded_digest(seed, F.col("id"))) % (F.col("_units") - start) + 1).alias("position"),
         )
     )
-    found = rows_at(counts, units, targets, ["_lead", "_order"])
+    found = rows_at(counts, units, targets, ["_lead", "_order"], n_targets=n)
     return found.select(F.col("target").alias("draw"), F.col("_order.unit").alias(unit))
 
 
-def bootstrap_rows(df: DataFrame, draws: DataFrame, *, unit: str = "unit", prefix: str = "OOT_") -> DataFrame:
-    """Every draw copies all rows of its unit under a new id.
+def bootstrap(
+    df: DataFrame, n: int = OOT_UNITS, *, unit: str = "unit", seed: int = SEED, prefix: str = "OOT_"
+) -> DataFrame:
+    """A fleet of ``n`` drawn units: every draw copies all rows of its unit under a new id.
 
-    ``draws`` has as many rows as the caller asked for, so it is the broadcast side by construction and
-    a large unit is copied where it lies.
+    The draws are the small side by construction, so a large unit is copied where it lies.
     """
-    return (
-        df.join(F.broadcast(draws), unit)
-        .withColumn(unit, F.concat(F.lit(prefix), F.col("draw").cast("string")))
-    )
+    draws = bootstrap_draws(df, n, unit=unit, seed=seed)
+    return df.join(bounded(draws, n), unit).withColumn(unit, F.concat(F.lit(prefix), F.col("draw").cast("string")))

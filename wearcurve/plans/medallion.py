@@ -16,6 +16,7 @@ from wearcurve.operators.conform import conform, drop_constant, drop_correlated,
 from wearcurve.operators.features import engineer
 from wearcurve.operators.normalize import apply_metadata, fit_metadata
 from wearcurve.operators.quality import duplicate_keys, integrity_by_layer
+from wearcurve.operators.split import assign_split
 from wearcurve.schema import EXPECTED_UNITS, RAW_FIELDS, feature_columns
 from wearcurve.sources.sinks import base_name, shared_dir, write_bronze, write_csv, write_parquet
 from wearcurve.sources.tables import load, read_many
@@ -47,7 +48,7 @@ def build_gold(
     source: str | DataFrame,
     out: str | None = None,
     *,
-    fit_on: Column | None = None,
+    fit_on: Column | str | None = None,
     include_lifecycle: bool = True,
     **blocks,
 ) -> Gold:
@@ -56,12 +57,16 @@ def build_gold(
     The unscaled features are written first: statistics and scaling both need them, and this way the
     panel is shuffled and sorted once, and the four outputs are plain scans of that table. It goes to
     ``out`` or, without one, to the shared folder, and the outputs are then left lazy.
+
+    ``fit_on`` restricts the rows behind the statistics: a condition, or the name of a split such as
+    ``"train"``. By default they come from all rows, held-out units included.
     """
     staging = out or shared_dir(spark, "gold")
     engineered = engineer(load(spark, source), include_lifecycle=include_lifecycle, **blocks)
     panel = write_parquet(engineered, posixpath.join(staging, "engineered.parquet"))
     features = feature_columns(panel)
-    metadata = fit_metadata(panel, features, fit_on)
+    fitted = assign_split(panel) if isinstance(fit_on, str) else panel
+    metadata = fit_metadata(fitted, features, F.col("split") == fit_on if isinstance(fit_on, str) else fit_on)
     if out is None:
         full = apply_metadata(panel, metadata, features)
         return Gold(full, stores.feature_store(full), stores.label_store(full), metadata)
@@ -87,7 +92,7 @@ def run(
     *,
     offset_by: str = "count",
     expected_units: int | None = EXPECTED_UNITS,
-    fit_on: Column | None = None,
+    fit_on: Column | str | None = None,
     include_lifecycle: bool = True,
     single_file: bool = False,
 ) -> dict[str, DataFrame]:

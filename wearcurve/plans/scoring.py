@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wearcurve.models import registry
 from wearcurve.operators.metrics import evaluate
-from wearcurve.operators.split import bootstrap_draws, bootstrap_rows
+from wearcurve.operators.split import bootstrap
 from wearcurve.plans.training import predict
 from wearcurve.schema import LABEL, OOT_UNITS, SEED
 from wearcurve.sources.sinks import write_parquet
@@ -29,7 +29,7 @@ def score_fleet(
     """Predictions per drawn unit and cycle, and their quality. With ``out`` they are written."""
     record = registry.latest(spark, bank).first()
     model = registry.load(bank, record["model_version"])
-    fleet = bootstrap_rows(rows, bootstrap_draws(rows, n, seed=seed))
+    fleet = bootstrap(rows, n, seed=seed)
     predictions = predict(model, fleet).select("cycle", *record["features_used"], LABEL, "unit", "RUL_pred")
     name = record["model_name"]
     if out is not None:
