@@ -17,6 +17,10 @@ from wearcurve.schema import (
     TREND_SENSORS,
 )
 
+# Penalties and folds of the ridge grid.
+ALPHAS = (0.1, 1.0, 10.0, 50.0, 100.0)
+CV_FOLDS = 3
+
 SENSORS = RAW_FIELDS[2:]
 KEPT = [c for c in SENSORS if c not in CONSTANT_SENSORS + CORRELATED_SENSORS]
 TRENDS = [f"{s}_{kind}" for s in TREND_SENSORS for kind in ("roll5_mean", "delta1")]
@@ -145,7 +149,43 @@ def _with(body: str, *needs: str, **own: str) -> str:
         add(name)
     parts = [f"{n} AS ({sql})" for n, sql in CTES.items() if n in wanted]
     parts += [f"{n} AS ({sql})" for n, sql in own.items()]
-    return f"WITH {', '.join(parts)} {body}"
+    return f"WITH RECURSIVE {', '.join(parts)} {body}"
+
+
+def _ridge(groups: str) -> dict[str, str]:
+    """Ridge per group of moment rows by Gaussian elimination on standardised features.
+
+    ``groups`` selects ``g, alpha, i, j, value``: sums of products of (1, features, label) for i <= j.
+    The penalty keeps every pivot positive, so rows need no exchange. Yields ``weights(g, i, w)`` with
+    the intercept at 0.
+    """
+    p, y = len(FEATURES), len(FEATURES) + 1
+    return {
+        "grams": groups,
+        "size": "SELECT g, value AS n FROM grams WHERE i = 0 AND j = 0",
+        "means": "SELECT g, j AS i, value / n AS mean FROM grams JOIN size USING (g) WHERE grams.i = 0 AND j > 0",
+        "spreads": """SELECT g, i, mean, CASE WHEN v > 1e-12 * greatest(mean * mean, 1e-300) THEN sqrt(v) END AS std
+FROM (SELECT means.g, means.i, mean, value / n - mean * mean AS v
+      FROM means JOIN grams ON grams.g = means.g AND grams.i = means.i AND grams.j = means.i
+      JOIN size ON size.g = means.g)""",
+        "cells": f"""SELECT grams.g, grams.i, grams.j,
+       CASE WHEN a.std IS NULL OR (b.std IS NULL AND grams.j < {y}) THEN 0.0
+            ELSE (value - n * a.mean * b.mean) / a.std / CASE WHEN grams.j = {y} THEN 1.0 ELSE b.std END END
+       + CASE WHEN grams.i = grams.j THEN alpha ELSE 0.0 END AS v
+FROM grams JOIN spreads a ON a.g = grams.g AND a.i = grams.i JOIN spreads b ON b.g = grams.g AND b.i = grams.j
+JOIN size ON size.g = grams.g WHERE grams.i BETWEEN 1 AND {p} AND grams.j >= 1""",
+        "whole": f"SELECT g, i, j, v FROM cells UNION ALL SELECT g, j, i, v FROM cells WHERE i < j AND j <= {p}",
+        "start": """SELECT g, list(line ORDER BY i) AS m FROM (
+  SELECT g, i, list(v ORDER BY j) AS line FROM whole GROUP BY g, i) GROUP BY g""",
+        "steps": f"""SELECT g, 1 AS k, m FROM start
+UNION ALL SELECT g, k + 1, list_transform(m, lambda line, r: list_transform(line, lambda x, c:
+         CASE WHEN r = k THEN x / m[k][k] ELSE x - line[k] * m[k][c] / m[k][k] END)) FROM steps WHERE k <= {p}""",
+        "slopes": f"""SELECT s.g, i, m[i][{y}] / COALESCE(std, 1.0) AS w, mean
+FROM steps s JOIN spreads USING (g) WHERE k = {y} AND i <= {p}""",
+        "weights": f"""SELECT g, i, w FROM slopes
+UNION ALL SELECT slopes.g, 0, any_value(y.mean) - sum(w * slopes.mean)
+FROM slopes JOIN means y ON y.g = slopes.g AND y.i = {y} GROUP BY slopes.g""",
+    }
 
 
 def _report(source: str) -> str:
@@ -180,6 +220,28 @@ def oracles() -> dict[str, str]:
     long = " UNION ALL ".join(
         f"SELECT unit, cycle, fold, {i} AS i, {term} AS v FROM folded" for i, term in enumerate(terms)
     )
+    products = f"""SELECT a.fold, a.i, b.i AS j, sum(a.v * b.v) AS value
+FROM long a JOIN long b ON a.unit = b.unit AND a.cycle = b.cycle AND a.i <= b.i GROUP BY a.fold, a.i, b.i"""
+    everything = "SELECT 0 AS g, 1.0 AS alpha, i, j, sum(value) AS value FROM products GROUP BY i, j"
+    # One group per penalty and held-out fold, over the other folds.
+    penalties = ", ".join(f"({CV_FOLDS * n}, {alpha}::DOUBLE)" for n, alpha in enumerate(ALPHAS))
+    without_fold = f"""SELECT base + k AS g, alpha, i, j, sum(value) AS value
+FROM products, (VALUES {penalties}) AS penalties(base, alpha), range({CV_FOLDS}) AS folds(k)
+WHERE fold <> k GROUP BY base, k, alpha, i, j"""
+    last = len(columns)
+    held_out = {
+        "residual": f"SELECT g, i, -w AS r FROM weights UNION ALL SELECT DISTINCT g, {last}, 1.0 FROM weights",
+        "scored": f"""SELECT a.g,
+       sum(CASE WHEN p.i = p.j THEN 1 ELSE 2 END * a.r * b.r * p.value) AS sse,
+       max(CASE WHEN p.i = {last} AND p.j = {last} THEN p.value END)
+       - max(CASE WHEN p.i = 0 AND p.j = {last} THEN p.value END) ** 2
+       / max(CASE WHEN p.i = 0 AND p.j = 0 THEN p.value END) AS sst
+FROM residual a JOIN residual b ON a.g = b.g JOIN products p ON p.i = a.i AND p.j = b.i AND p.fold = a.g % {CV_FOLDS}
+GROUP BY a.g""",
+        "ranked": f"""SELECT alpha, CAST(g % {CV_FOLDS} AS INT) AS fold, 1 - sse / sst AS r2
+FROM scored JOIN (VALUES {penalties}) AS penalties(base, alpha) ON base = g - g % {CV_FOLDS}""",
+    }
+    named = ", ".join(f"({i}, '{c}')" for i, c in enumerate(["intercept", *FEATURES]))
     return {
         "bronze_parse": panel,
         "bronze_rejects": _with(
@@ -290,7 +352,15 @@ ORDER BY scores.r2 DESC, CASE model WHEN 'previous' THEN 1 ELSE 2 END LIMIT 1"""
             f"""SELECT unit, cycle, {len(FEATURES)} AS n_features, {_rounded(' + '.join(FEATURES), 4)} AS total
 FROM filled""", "filled"),
         "ridge_moments": _with(
-            f"""SELECT a.fold, a.i, b.i AS j, {_rounded("sum(a.v * b.v)", 2)} AS value
-FROM long a JOIN long b ON a.unit = b.unit AND a.cycle = b.cycle AND a.i <= b.i GROUP BY a.fold, a.i, b.i""",
-            "folded", long=long),
+            f"SELECT fold, i, j, {_rounded('value', 2)} AS value FROM products", "folded", long=long, products=products),
+        "ridge_fit": _with(
+            f"""SELECT feature, {_rounded("w", 3)} AS coefficient
+FROM weights JOIN (VALUES {named}) AS names(i, feature) USING (i)""",
+            "folded", long=long, products=products, **_ridge(everything)),
+        "ridge_grid": _with(
+            f"SELECT alpha, fold, {_rounded('r2', 6)} AS r2 FROM ranked",
+            "folded", long=long, products=products, **_ridge(without_fold), **held_out),
+        "grid_results": _with(
+            f"SELECT alpha, {_rounded('avg(r2)', 6)} AS mean_r2 FROM ranked GROUP BY alpha",
+            "folded", long=long, products=products, **_ridge(without_fold), **held_out),
     }

@@ -425,13 +425,15 @@ def ridge_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def ridge_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready = prepared(spark, sf_dir)
-    return ridge.coefficients(ridge.fit(ready.train, ready.features), ready.features, ready.train)
+    found = ridge.coefficients(ridge.fit(ready.train, ready.features), ready.features, ready.train)
+    return tidy(found, 3)
 
 
 @query
 def ridge_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready = prepared(spark, sf_dir)
-    return ridge.grid(ready.train, ready.features)
+    found = ridge.grid(ready.train, ready.features)
+    return found.select("alpha", "fold", rounded(F.col("r2"), SUMMED).alias("r2"))
 
 
 @query
@@ -452,7 +454,8 @@ def forest_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def grid_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean score of every penalty, best first."""
     scores = ridge.mean_scores(trained(spark, sf_dir)[0].ridge.results)
-    return scores.orderBy(F.desc("mean_r2"), "alpha")
+    ordered = scores.orderBy(F.desc("mean_r2"), "alpha")
+    return ordered.select("alpha", rounded(F.col("mean_r2"), SUMMED).alias("mean_r2"))
 
 
 @query
