@@ -241,6 +241,12 @@ GROUP BY a.g""",
         "ranked": f"""SELECT alpha, CAST(g % {CV_FOLDS} AS INT) AS fold, 1 - sse / sst AS r2
 FROM scored JOIN (VALUES {penalties}) AS penalties(base, alpha) ON base = g - g % {CV_FOLDS}""",
     }
+    one_row = ", ".join(f"max(CASE WHEN i = {i} THEN w END) AS beta{i}" for i in range(last))
+    weighted = " + ".join(f"beta{i} * {c}" for i, c in enumerate(FEATURES, start=1))
+    predicted = _with(
+        f"""SELECT unit, cycle, split, RUL, {_rounded(f"beta0 + {weighted}", 3)} AS RUL_pred
+FROM filled JOIN (SELECT unit, split FROM splits) USING (unit) CROSS JOIN fitted""",
+        "folded", long=long, products=products, **_ridge(everything), fitted=f"SELECT {one_row} FROM weights")
     named = ", ".join(f"({i}, '{c}')" for i, c in enumerate(["intercept", *FEATURES]))
     return {
         "bronze_parse": panel,
@@ -357,6 +363,8 @@ FROM filled""", "filled"),
             f"""SELECT feature, {_rounded("w", 3)} AS coefficient
 FROM weights JOIN (VALUES {named}) AS names(i, feature) USING (i)""",
             "folded", long=long, products=products, **_ridge(everything)),
+        "predict": predicted,
+        "load_model": predicted,
         "ridge_grid": _with(
             f"SELECT alpha, fold, {_rounded('r2', 6)} AS r2 FROM ranked",
             "folded", long=long, products=products, **_ridge(without_fold), **held_out),

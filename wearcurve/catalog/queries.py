@@ -6,6 +6,7 @@ import posixpath
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from wearcurve.catalog.staging import (
     TRIAL_FOREST_GRID,
     cleaned_table,
     gold_table,
+    once,
     prepared,
     raw_path,
     trained,
@@ -40,7 +42,7 @@ from wearcurve.sources.text_log import parse_lines, read_raw
 
 # Digits kept where engines may add in different orders: deviations behind scaled values, and errors.
 # Everything else is the same to the last bit.
-SCALED, SUMMED = 4, 6
+SCALED, SUMMED, PREDICTED = 4, 6, 3
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -458,10 +460,15 @@ def grid_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered.select("alpha", rounded(F.col("mean_r2"), SUMMED).alias("mean_r2"))
 
 
+def _ridge_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
+    ready = prepared(spark, sf_dir)
+    return once(spark, sf_dir, "ridge", lambda: ridge.fit(ready.train, ready.features))
+
+
 @query
 def predict_(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = trained(spark, sf_dir)[0].ridge.model
-    return predict(model, prepared(spark, sf_dir).rows).select(*KEYS, "split", LABEL, "RUL_pred")
+    predicted = predict(_ridge_model(spark, sf_dir), prepared(spark, sf_dir).rows)
+    return tidy(predicted.select(*KEYS, "split", LABEL, "RUL_pred"), PREDICTED)
 
 
 @query
@@ -494,9 +501,12 @@ def latest_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def load_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, bank = trained(spark, sf_dir)
-    model = registry.load(bank, found.version)
-    return predict(model, prepared(spark, sf_dir).rows).select(*KEYS, "RUL_pred")
+    """Predictions of a ridge that went through storage."""
+    bank = shared_dir(spark, "models")
+    registry.save(_ridge_model(spark, sf_dir), trained(spark, sf_dir)[0].record, bank)
+    version = registry.latest(spark, bank).first()["model_version"]
+    predicted = predict(registry.load(bank, version), prepared(spark, sf_dir).rows)
+    return tidy(predicted.select(*KEYS, "split", LABEL, "RUL_pred"), PREDICTED)
 
 
 @query
