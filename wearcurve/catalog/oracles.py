@@ -243,10 +243,20 @@ FROM scored JOIN (VALUES {penalties}) AS penalties(base, alpha) ON base = g - g
     }
     one_row = ", ".join(f"max(CASE WHEN i = {i} THEN w END) AS beta{i}" for i in range(last))
     weighted = " + ".join(f"beta{i} * {c}" for i, c in enumerate(FEATURES, start=1))
+    value = f"beta0 + {weighted}"
+    solved = dict(long=long, products=products, **_ridge(everything), fitted=f"SELECT {one_row} FROM weights")
     predicted = _with(
-        f"""SELECT unit, cycle, split, RUL, {_rounded(f"beta0 + {weighted}", 3)} AS RUL_pred
-FROM filled JOIN (SELECT unit, split FROM splits) USING (unit) CROSS JOIN fitted""",
-        "folded", long=long, products=products, **_ridge(everything), fitted=f"SELECT {one_row} FROM weights")
+        f"""SELECT unit, cycle, split, RUL, {_rounded(value, 3)} AS RUL_pred
+FROM filled JOIN (SELECT unit, split FROM splits) USING (unit) CROSS JOIN fitted""", "folded", **solved)
+    drawn = {
+        "tests": """SELECT unit, place - CAST(floor(n * 0.85::DOUBLE) AS BIGINT) - 1 AS pick
+FROM splits WHERE split = 'test'""",
+        "draws": f"""SELECT CAST(i AS INT) AS draw,
+       CAST('0x' || substr(md5('{SEED}:' || i), 1, 8) AS BIGINT) % (SELECT count(*) FROM tests) AS pick
+FROM range(1, {OOT_UNITS + 1}) AS t(i)""",
+    }
+    fleet = f"""SELECT filled.* EXCLUDE (unit), 'OOT_' || draw AS unit, {value} AS RUL_pred
+FROM draws JOIN tests USING (pick) JOIN filled ON filled.unit = tests.unit CROSS JOIN fitted"""
     named = ", ".join(f"({i}, '{c}')" for i, c in enumerate(["intercept", *FEATURES]))
     return {
         "bronze_parse": panel,
@@ -345,10 +355,7 @@ FROM cleaned JOIN splits USING (unit) GROUP BY split""", "cleaned", "splits"),
             f"""SELECT draw, 'OOT_' || draw AS unit, cycle, {_tidy(['T24'])}, RUL
 FROM draws JOIN tests USING (pick) JOIN (SELECT *, {_RUL} FROM cleaned) c ON c.unit = tests.unit""",
             "cleaned", "splits",
-            tests="SELECT unit, place - CAST(floor(n * 0.85::DOUBLE) AS BIGINT) - 1 AS pick FROM splits WHERE split = 'test'",
-            draws=f"""SELECT CAST(i AS INT) AS draw,
-       CAST('0x' || substr(md5('{SEED}:' || i), 1, 8) AS BIGINT) % (SELECT count(*) FROM tests) AS pick
-FROM range(1, {OOT_UNITS + 1}) AS t(i)"""),
+            **drawn),
         "metrics": scored,
         "select_model": _with(
             f"""SELECT model, split, n_rows, {_tidy(['mae', 'rmse', 'r2'], 6)} FROM scores WHERE split = 'val'
@@ -365,6 +372,14 @@ FROM weights JOIN (VALUES {named}) AS names(i, feature) USING (i)""",
             "folded", long=long, products=products, **_ridge(everything)),
         "predict": predicted,
         "load_model": predicted,
+        "oot_predictions": _with(
+            f"SELECT unit, cycle, RUL, {_tidy([*FEATURES, 'RUL_pred'], 3)} FROM fleet",
+            "folded", **solved, **drawn, fleet=fleet),
+        "oot_score": _with(
+            f"""SELECT 'oot' AS split, count(*) AS n_rows, {_rounded("avg(abs(RUL - RUL_pred))", 6)} AS mae,
+       {_rounded("sqrt(avg((RUL - RUL_pred) ** 2))", 6)} AS rmse,
+       {_rounded("1 - sum((RUL - RUL_pred) ** 2) / (var_pop(RUL) * count(*))", 6)} AS r2 FROM fleet""",
+            "folded", **solved, **drawn, fleet=fleet),
         "ridge_grid": _with(
             f"SELECT alpha, fold, {_rounded('r2', 6)} AS r2 FROM ranked",
             "folded", long=long, products=products, **_ridge(without_fold), **held_out),

@@ -499,11 +499,21 @@ def latest_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.latest(spark, trained(spark, sf_dir)[1])
 
 
+def _ridge_bank(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with one stored ridge and its record."""
+
+    def make() -> str:
+        bank = shared_dir(spark, "models")
+        registry.save(_ridge_model(spark, sf_dir), trained(spark, sf_dir)[0].record, bank)
+        return bank
+
+    return once(spark, sf_dir, "ridge-bank", make)
+
+
 @query
 def load_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions of a ridge that went through storage."""
-    bank = shared_dir(spark, "models")
-    registry.save(_ridge_model(spark, sf_dir), trained(spark, sf_dir)[0].record, bank)
+    bank = _ridge_bank(spark, sf_dir)
     version = registry.latest(spark, bank).first()["model_version"]
     predicted = predict(registry.load(bank, version), prepared(spark, sf_dir).rows)
     return tidy(predicted.select(*KEYS, "split", LABEL, "RUL_pred"), PREDICTED)
@@ -511,11 +521,12 @@ def load_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def oot_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bank = trained(spark, sf_dir)[1]
     rows = prepared(spark, sf_dir).rows
-    return score_fleet(spark, rows, bank, out=shared_dir(spark, "oot")).predictions
+    scored = score_fleet(spark, rows, _ridge_bank(spark, sf_dir), out=shared_dir(spark, "oot"))
+    return tidy(scored.predictions, PREDICTED)
 
 
 @query
 def oot_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_fleet(spark, prepared(spark, sf_dir).rows, trained(spark, sf_dir)[1]).metrics
+    scored = score_fleet(spark, prepared(spark, sf_dir).rows, _ridge_bank(spark, sf_dir))
+    return tidy(scored.metrics.drop("model"), SUMMED)
