@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wearcurve.llm import sentence_pieces, token_counts, token_files
+from wearcurve.llm import quality, sentence_pieces, simhash, token_counts, token_files, vectors
 from wearcurve.sources.sinks import shared_dir
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -18,6 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assessed = quality.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return assessed.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.classes(table(spark, sf_dir, "documents"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "tokens")
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, WORD_VOCABULARY)
@@ -28,13 +39,20 @@ def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.round_trip(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_copies(table(spark, sf_dir, "embeddings"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.over_budget(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
+    "op4_simhash": op4_simhash,
     "op6_token_files": op6_token_files,
     "op7_sentence_pieces": op7_sentence_pieces,
+    "op8_embeddings": op8_embeddings,
     "op9_token_counts": op9_token_counts,
 }
 
