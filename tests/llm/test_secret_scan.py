@@ -1,0 +1,54 @@
+import re
+
+from wearcurve.llm import secret_scan
+from wearcurve.llm.work import stage
+
+
+def test_candidates_by_hand(docs, odd_docs):
+    for table in (docs, odd_docs):
+        want = sorted(
+            (str(r["doc_id"]), m.start(), m.group())
+            for r in table.collect()
+            for m in re.finditer(r"[A-Za-z0-9+/_\-]{12,}={0,2}", r["text"] or "")
+        )
+        got = [(str(r["doc_id"]), r["start"], r["value"]) for r in secret_scan.candidates(table).collect()]
+        assert sorted(got) == want
+
+
+def test_tokens_of_the_table(spark):
+    """Every planted token is found and nothing else; labels of half the findings teach the other half."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    rows = docs.collect()
+    planted = {
+        (r["doc_id"], m.start(1)) for r in rows for m in re.finditer(r"(?i)token = \"([0-9a-f]{40})\"", r["text"])
+    }
+    found = stage(secret_scan.findings(docs), "found")
+    got = {(r["doc_id"], r["start"]) for r in found.collect()}
+    assert len(planted) > 100 and got >= planted and len(got - planted) <= 0.05 * len(planted)
+    everything = {
+        (r["doc_id"], m.start()): (r["doc_id"], m.start()) in planted
+        for r in rows
+        for m in re.finditer(secret_scan.CANDIDATE, r["text"])
+        if r["doc_id"] % 2
+    }
+    labels = spark.createDataFrame([(d, s, y) for (d, s), y in everything.items()], "doc_id long, start int, is_secret boolean")
+    taught = {(r["doc_id"], r["start"]) for r in secret_scan.findings(docs, labels).collect()}
+    held = {p for p in planted if p[0] % 2 == 0}
+    guessed = {p for p in taught if p[0] % 2 == 0}
+    assert len(guessed & held) >= 0.95 * len(held) and len(guessed - held) <= 0.05 * len(held)
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs, found).collect()}
+    for r in rows:
+        want = re.sub(r"(?i)(token = \")[0-9a-f]{40}(\")", r"\1<SECRET>\2", r["text"])
+        if not {p for p in got - planted if p[0] == r["doc_id"]}:
+            assert clean[r["doc_id"]] == want
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    found = secret_scan.findings(odd_docs)
+    out = secret_scan.redact(odd_docs, found)
+    assert out.columns == odd_docs.columns
+    assert sorted(map(str, out.collect())) == sorted(map(str, odd_docs.collect()))
+    assert secret_scan.scan(no_docs).count() == 0
+    assert secret_scan.redact(no_docs, secret_scan.findings(no_docs)).count() == 0
+    none = spark.createDataFrame([], "doc_id long, start int, is_secret boolean")
+    assert secret_scan.findings(odd_docs, none).count() == 0

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wearcurve.llm import chat, mixing, quality, sentence_pieces, sharding, simhash, token_counts, token_files, vectors
+from wearcurve.llm import chat, mixing, quality, secret_scan, sentence_pieces, sharding, simhash, token_counts, token_files, vectors
 from wearcurve.sources.sinks import shared_dir
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -64,6 +64,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.over_budget(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_chat_windows": op2_chat_windows,
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_sentence_pieces": op7_sentence_pieces,
     "op8_embeddings": op8_embeddings,
     "op9_token_counts": op9_token_counts,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 #: Queries whose result SQL can express.
