@@ -3,27 +3,43 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tests.panels import fleet, rows_of, small, to_spark
 from wearcurve.operators import features
 from wearcurve.operators.conform import cast_columns
-from wearcurve.operators.ordered import number_rows
+from wearcurve.operators.ordered import hot_units, number_rows
 from wearcurve.schema import RATIOS, TREND_SENSORS
 
 
+def mean(values):
+    """Mean of the readings that are there."""
+    there = [v for v in values if not math.isnan(v)]
+    return sum(there) / len(there) if there else math.nan
+
+
 def expected(pdf):
-    """Label and features of a sorted pandas panel."""
-    out = pdf.sort_values(["unit", "cycle"]).reset_index(drop=True)
-    by = out.groupby("unit")
-    out["RUL"] = by["cycle"].transform("max") - out["cycle"]
-    for s in TREND_SENSORS:
-        out[f"{s}_roll5_mean"] = by[s].rolling(5, min_periods=1).mean().reset_index(0, drop=True)
-        out[f"{s}_delta1"] = by[s].diff().fillna(0)
-    for name, (a, b) in RATIOS.items():
-        out[name] = out[a] / (out[b] + np.float32(1e-6))
-    out["cycle_norm"] = out["cycle"] / by["cycle"].transform("max")
-    out["health_index"] = 1 - out["cycle_norm"]
-    return out
+    """Label and features of a panel, unit by unit and row by row, from their definitions."""
+    lives = {}
+    for row in pdf.to_dict("records"):
+        lives.setdefault(row["unit"], []).append(row)
+    out = []
+    for life in lives.values():
+        life.sort(key=lambda row: row["cycle"])
+        last = life[-1]["cycle"]
+        for at, row in enumerate(life):
+            made = dict(row, RUL=last - row["cycle"])
+            for s in TREND_SENSORS:
+                made[f"{s}_roll5_mean"] = mean([float(r[s]) for r in life[max(0, at - 4) : at + 1]])
+                step = float(row[s]) - float(life[at - 1][s]) if at else 0.0
+                made[f"{s}_delta1"] = 0.0 if math.isnan(step) else step
+            for name, (a, b) in RATIOS.items():
+                made[name] = np.float32(row[a]) / (np.float32(row[b]) + np.float32(1e-6))
+            made["cycle_norm"] = row["cycle"] / last
+            made["health_index"] = 1 - row["cycle"] / last
+            out.append(made)
+    out.sort(key=lambda row: (row["unit"], row["cycle"]))
+    return pd.DataFrame(out)
 
 
 def check(got, want):
@@ -101,9 +117,32 @@ def test_missing_sensor_is_an_error(spark):
         features.engineer(small(spark, [(1, 1, 0.0)]))
 
 
-def test_number_rows_of_hot_keys(spark):
-    from pyspark.sql import functions as F
+def test_many_hot_units(spark):
+    """As many hot units as there are: none is left whole."""
+    pdf = fleet([6] * 400, seed=9)
+    df = to_spark(spark, pdf)
+    hot = hot_units(df, "unit", [F.max("cycle").alias("m")], 5)
+    assert hot.count() == 400
+    assert hot_units(df, "unit", [], 6) is None
+    check(features.engineer(df, hot_rows=5, block_bits=2), expected(pdf))
+
 
+def test_plain_plan_has_one_shuffle(spark):
+    plan = features.engineer(to_spark(spark, fleet([9]))).select("T24_delta1", "RUL")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text
+
+
+def test_number_rows_of_hot_buckets(spark):
+    """Most rows of a key in one bucket: the finer level splits it."""
+    rows = [(1, 5, i // 10, i) for i in range(300)] + [(1, 4, 0, 1), (2, 5, 1, 3), (1, None, None, 9)]
+    df = spark.createDataFrame(rows, "k int, day int, hour int, id int")
+    order = ("day", "hour", "id")
+    whole = rows_of(number_rows(df, "k", order, F.col("day"), F.col("hour"), hot_rows=10_000), "k", "cycle")
+    assert rows_of(number_rows(df, "k", order, F.col("day"), F.col("hour"), hot_rows=5), "k", "cycle") == whole
+
+
+def test_number_rows_of_hot_keys(spark):
     rng = np.random.default_rng(1)
     pdf = pd.DataFrame({"k": rng.integers(0, 4, 500), "day": rng.integers(0, 12, 500), "id": np.arange(500)})
     df = spark.createDataFrame(pdf)

@@ -66,12 +66,10 @@ def test_bootstrap(spark):
     assert got == {f"OOT_{i}": lengths[u] for i, u in draws.items()}
 
 
-def test_tables_beyond_the_limit_are_not_hinted(spark, monkeypatch):
+def test_more_targets_than_can_be_broadcast_are_refused(spark, monkeypatch):
     from wearcurve.operators import positions
 
     df = small(spark, [(u, 1, 0.0) for u in range(9)])
-    want = sorted(map(tuple, split.bootstrap(df, 5).collect()))
-    monkeypatch.setattr(positions, "MAX_BROADCAST_ROWS", 3)
-    assert sorted(map(tuple, split.bootstrap(df, 5).collect())) == want
-    assert "broadcast" not in positions.bounded(df, 4)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in positions.bounded(df, 3)._jdf.queryExecution().analyzed().toString()
+    monkeypatch.setattr(positions, "MAX_TARGETS", 3)
+    with pytest.raises(ValueError, match="targets"):
+        split.bootstrap(df, 5)

@@ -47,7 +47,7 @@ def lineitem_panel(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """One supplier is one unit; its lines in shipping order are its cycles. ``keep``: extra columns."""
     lines = table(spark, sf_dir, "lineitem")
     day = F.datediff("l_shipdate", F.lit("1970-01-01").cast("date"))
-    numbered = number_rows(lines, "l_suppkey", LINEITEM_ORDER, day)
+    numbered = number_rows(lines, "l_suppkey", LINEITEM_ORDER, day, F.shiftright("l_orderkey", 12))
     return numbered.select(
         F.col("l_suppkey").cast("int").alias("unit"),
         "cycle",
@@ -80,7 +80,8 @@ def events_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     # From calendar fields, so that no session time zone can put hours out of order.
     hour = F.datediff("ts", F.lit("1970-01-01").cast("date")) * 24 + F.hour("ts")
-    return number_rows(events, "user_id", ("ts",), hour).select(
+    second = F.minute("ts") * 60 + F.second("ts")
+    return number_rows(events, "user_id", ("ts",), hour, second).select(
         F.col("user_id").cast("int").alias("unit"),
         "cycle",
         "value",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wearcurve.functions.expressions import identifier, nan_to_null
+from wearcurve.operators.positions import bounded
 from wearcurve.schema import CONSTANT_SENSORS, CORRELATED_SENSORS, SILVER_TYPES
 
 
@@ -60,11 +61,19 @@ def source_offsets(df: DataFrame, *, unit: str = "unit", offset_by: str = "count
     )
 
 
-def shift_units(df: DataFrame, *, unit: str = "unit", offset_by: str = "count") -> DataFrame:
-    """Shift unit ids so that datasets do not share them. Sources are a list the caller wrote out."""
+def shift_units(
+    df: DataFrame, *, unit: str = "unit", offset_by: str = "count", n_sources: int | None = None
+) -> DataFrame:
+    """Shift unit ids so that datasets do not share them.
+
+    With ``n_sources``, the length of the caller's list, the offsets are broadcast once that length is
+    checked; otherwise Spark picks the join.
+    """
     offsets = source_offsets(df, unit=unit, offset_by=offset_by)
+    if n_sources is not None:
+        offsets = bounded(offsets, n_sources)
     shifted = (F.col(unit) + F.col("offset")).cast("int")
-    return df.join(F.broadcast(offsets), "source").withColumn(unit, shifted).drop("offset")
+    return df.join(offsets, "source").withColumn(unit, shifted).drop("offset")
 
 
 def shared_units(df: DataFrame, *, unit: str = "unit") -> DataFrame:
@@ -78,4 +87,5 @@ def shared_units(df: DataFrame, *, unit: str = "unit") -> DataFrame:
 
 def conform(sources: Sequence[DataFrame], *, offset_by: str = "count") -> DataFrame:
     """Cast, number, union and shift: the silver panel, with its ``source`` column."""
-    return shift_units(union_sources([cast_columns(df) for df in sources]), offset_by=offset_by)
+    united = union_sources([cast_columns(df) for df in sources])
+    return shift_units(united, offset_by=offset_by, n_sources=len(sources))

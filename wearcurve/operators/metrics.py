@@ -22,11 +22,12 @@ def stack_predictions(df: DataFrame, models: Mapping[str, str], *, target: str =
 def evaluate(df: DataFrame, by: Sequence[str] = ("model", "split"), *, target: str = LABEL) -> DataFrame:
     """MAE, RMSE and R² per group, in one aggregate.
 
-    Rows without target or prediction do not count. R² of a target that does not vary is 1 for a
+    Rows without target or prediction do not count in the scores; ``n_skipped`` says how many. R² of a target that does not vary is 1 for a
     perfect prediction and 0 otherwise; of fewer than two rows it is null.
     """
     error = F.col(target) - F.col("prediction")
-    scored = df.filter(F.col(target).isNotNull() & F.col("prediction").isNotNull())
+    known = F.col(target).isNotNull() & F.col("prediction").isNotNull()
+    scored = df.withColumn(target, F.when(known, F.col(target)))
     residual, total = F.col("_residual"), F.col("_total")
     r2 = (
         F.when(F.col("n_rows") < 2, None)
@@ -37,11 +38,12 @@ def evaluate(df: DataFrame, by: Sequence[str] = ("model", "split"), *, target: s
     return (
         scored.groupBy(*by)
         .agg(
-            F.count(F.lit(1)).alias("n_rows"),
+            F.count(target).alias("n_rows"),
+            F.count_if(F.col(target).isNull()).alias("n_skipped"),
             F.avg(F.abs(error)).alias("mae"),
             F.sqrt(F.avg(error * error)).alias("rmse"),
             F.sum(error * error).alias("_residual"),
-            (F.var_pop(target) * F.count(F.lit(1))).alias("_total"),
+            (F.var_pop(target) * F.count(target)).alias("_total"),
         )
         .withColumn("r2", r2)
         .drop("_residual", "_total")

@@ -52,7 +52,10 @@ def fit_metadata(
 
 
 def _stats_struct(metadata: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Metadata -> one struct with the fields ``m0, s0, m1, s1, ...`` in the order of ``features``."""
+    """Metadata -> one struct with the fields ``m0, s0, m1, s1, ...`` in the order of ``features``.
+
+    A feature without metadata is an error that names it, raised when the statistics are read.
+    """
     entry = {c: F.try_element_at("by_name", F.lit(c)) for c in features}
     fields = [
         field
@@ -60,7 +63,10 @@ def _stats_struct(metadata: DataFrame, features: Sequence[str]) -> DataFrame:
         for field in (entry[c]["mean"].alias(f"m{i}"), entry[c]["std"].alias(f"s{i}"))
     ]
     by_name = F.map_from_entries(F.collect_list(F.struct("feature", F.struct("mean", "std"))))
-    return metadata.agg(by_name.alias("by_name")).select(F.struct(*fields))
+    absent = F.array_except(F.array(*[F.lit(c) for c in features]), F.map_keys("found"))
+    message = F.concat(F.lit("metadata lacks the features "), F.array_join(absent, ", "))
+    checked = F.when(F.size(absent) > 0, F.raise_error(message)).otherwise(F.col("found")).alias("by_name")
+    return metadata.agg(by_name.alias("found")).select(checked).select(F.struct(*fields))
 
 
 def apply_metadata(df: DataFrame, metadata: DataFrame, features: Sequence[str] | None = None) -> DataFrame:

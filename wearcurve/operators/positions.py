@@ -14,13 +14,16 @@ from pyspark.sql import functions as F
 DIGIT_BITS = 16
 
 
-# A broadcast hint is given only to tables with at most this many rows by construction.
-MAX_BROADCAST_ROWS = 1 << 20
+# Most targets that may be asked for at once. Targets are broadcast, and ordered in one place beside
+# the running totals of at most 2**DIGIT_BITS groups.
+MAX_TARGETS = 1 << 20
 
 
 def bounded(df: DataFrame, rows: int) -> DataFrame:
-    """Hint a broadcast of a table known to hold ``rows`` rows; beyond the limit Spark picks the join."""
-    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
+    """A broadcast of a table that holds ``rows`` rows by construction; refused beyond ``MAX_TARGETS``."""
+    if rows > MAX_TARGETS:
+        raise ValueError(f"{rows} targets; at most {MAX_TARGETS} can be broadcast")
+    return F.broadcast(df)
 
 
 def rows_at(

@@ -132,11 +132,17 @@ def bootstrap_draws(
 
 
 def bootstrap(
-    df: DataFrame, n: int = OOT_UNITS, *, unit: str = "unit", seed: int = SEED, prefix: str = "OOT_"
+    df: DataFrame,
+    n: int = OOT_UNITS,
+    *,
+    unit: str = "unit",
+    seed: int = SEED,
+    test_from: float = VAL_SHARE,
+    prefix: str = "OOT_",
 ) -> DataFrame:
     """A fleet of ``n`` drawn units: every draw copies all rows of its unit under a new id.
 
     The draws are the small side by construction, so a large unit is copied where it lies.
     """
-    draws = bootstrap_draws(df, n, unit=unit, seed=seed)
+    draws = bootstrap_draws(df, n, unit=unit, seed=seed, test_from=test_from)
     return df.join(bounded(draws, n), unit).withColumn(unit, F.concat(F.lit(prefix), F.col("draw").cast("string")))
