@@ -82,9 +82,11 @@ def test_features_take_one_sort_and_no_cross_join(spark, layers):
     from wearcurve.operators.features import engineer
 
     text = engineer(layers[0]["cleaned"])._jdf.queryExecution().executedPlan().toString()
-    main = text[: text.index("Union")]
-    assert main.count("Window [") == 1 and main.count("Sort [") == 1 and main.count("Exchange") == 1
-    assert "NestedLoop" not in text and "Cartesian" not in text
+    assert text.count("Window [") == 1 and text.count("Sort [") == 1 and text.count("Exchange") == 1
+    blocked = engineer(layers[0]["cleaned"], hot_rows=5, block_bits=2)._jdf.queryExecution().executedPlan().toString()
+    main = blocked[: blocked.index("Union")]
+    assert main.count("Window [") == 1 and main.count("Sort [") == 1
+    assert "NestedLoop" not in text + blocked and "Cartesian" not in text + blocked
 
 
 def test_split_and_folds_move_no_rows(spark, layers):

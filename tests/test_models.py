@@ -130,3 +130,15 @@ def test_latest_record(spark, tmp_path):
         (tmp_path / f"{version}_meta.json").write_text(
             '{\n "model_version": "%s",\n "train_date": "%s",\n "features_used": ["a"]\n}' % (version, date))
     assert registry.latest(spark, str(tmp_path)).first()["model_version"] == "v3"
+
+
+def test_a_fleet_holds_no_training_unit_whatever_the_seed(spark, rows, tmp_path):
+    """Seed and shares come from the record; the stored model is the selected one."""
+    ready = prepare(spark, rows, seed=7, shares=(0.5, 0.6))
+    run = train(spark, rows, bank=str(tmp_path), forest_grid=GRID, seed=7, prepared=ready)
+    record = registry.latest(spark, str(tmp_path)).first()
+    assert record["random_seed"] == 7 and record["split_shares"] == [0.5, 0.6]
+    assert record["model_name"] == registry.MODEL_NAMES[run.selected.first()["model"]]
+    tests = {tuple(r) for r in ready.rows.filter("split = 'test'").select("cycle", *NAMES).collect()}
+    drawn = {tuple(r) for r in score_fleet(spark, ready.rows, str(tmp_path), n=30).predictions.select("cycle", *NAMES).collect()}
+    assert drawn <= tests

@@ -45,3 +45,10 @@ def test_mean_beside_a_small_deviation(spark):
 def test_fill(spark):
     df = spark.createDataFrame([(1, None, None)], "unit int, a double, b double")
     assert tuple(normalize.fill_missing(df, ["a"]).first()) == (1, 0.0, None)
+
+
+def test_missing_metadata_is_an_error_with_names(spark):
+    df = spark.createDataFrame([(1, 1, 0.0, 1.0, 2.0)], "unit int, cycle int, a double, b double, c double")
+    metadata = normalize.fit_metadata(df, ["a"])
+    with pytest.raises(Exception, match="lacks the features b, c"):
+        normalize.apply_metadata(df, metadata).collect()

@@ -1,9 +1,11 @@
 import warnings
 
 import pytest
+from pyspark.sql import types as T
 
 from tests.panels import rows_of, small
 from wearcurve.schema import feature_columns, require_columns
+from wearcurve.sources import sinks
 from wearcurve.sources.sinks import base_name, shared_dir, write_bronze, write_csv, write_parquet
 from wearcurve.sources.tables import load, read_csv, read_many
 
@@ -54,3 +56,28 @@ def test_required_and_feature_columns(spark):
     assert require_columns(df) is df
     with pytest.raises(KeyError, match="cycle"):
         require_columns(df.drop("cycle"))
+
+
+def test_declared_schema_is_matched_by_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("cycle,other,unit\n7,x,1\nbad,y,2\n")
+    schema = T.StructType([T.StructField("unit", T.IntegerType()), T.StructField("cycle", T.IntegerType())])
+    assert rows_of(read_csv(spark, str(tmp_path / "a.csv"), schema), "unit") == [(1, 7), (2, None)]
+    with pytest.raises(KeyError, match="absent"):
+        read_csv(spark, str(tmp_path / "a.csv"), T.StructType([T.StructField("absent", T.IntegerType())]))
+
+
+def test_work_folder_is_asked_for_and_released(spark, tmp_path):
+    class Bare:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(ValueError, match="workDir"):
+        shared_dir(Bare, "a")
+    path = shared_dir(spark, "gone") + ".parquet"
+    write_parquet(small(spark, [(1, 1, 0.5)]), path)
+    before = dict(sinks._handed_out)
+    sinks._handed_out[spark.sparkContext.applicationId] = [path.removesuffix(".parquet")]
+    assert sinks.release(spark) == 1
+    sinks._handed_out.update(before)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)

@@ -20,6 +20,8 @@ from wearcurve.schema import (
 # Penalties and folds of the ridge grid.
 ALPHAS = (0.1, 1.0, 10.0, 50.0, 100.0)
 CV_FOLDS = 3
+# Groups from this number on hold all folds.
+WHOLE = 1000
 
 SENSORS = RAW_FIELDS[2:]
 KEPT = [c for c in SENSORS if c not in CONSTANT_SENSORS + CORRELATED_SENSORS]
@@ -115,13 +117,12 @@ FROM flagged""",
        avg(CAST(T24 AS DOUBLE)) OVER (PARTITION BY unit ORDER BY cycle ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS mean,
        CAST(lag(T24) OVER (PARTITION BY unit ORDER BY cycle) AS DOUBLE) AS previous
 FROM cleaned""",
-    "stacked": """SELECT model, split, CAST(T24 AS DOUBLE) AS y, p FROM (
+    "stacked": """SELECT model, split, CASE WHEN p IS NOT NULL THEN CAST(T24 AS DOUBLE) END AS y, p FROM (
   SELECT unit, T24, 'mean' AS model, mean AS p FROM guesses
-  UNION ALL SELECT unit, T24, 'previous', previous FROM guesses) JOIN splits USING (unit)
-WHERE T24 IS NOT NULL AND p IS NOT NULL""",
-    "scores": """SELECT model, split, count(*) AS n_rows, avg(abs(y - p)) AS mae, sqrt(avg((y - p) * (y - p))) AS rmse,
-       CASE WHEN count(*) < 2 THEN NULL
-            WHEN var_pop(y) > 0 THEN 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*))
+  UNION ALL SELECT unit, T24, 'previous', previous FROM guesses) JOIN splits USING (unit)""",
+    "scores": """SELECT model, split, count(y) AS n_rows, count(*) - count(y) AS n_skipped, avg(abs(y - p)) AS mae, sqrt(avg((y - p) * (y - p))) AS rmse,
+       CASE WHEN count(y) < 2 THEN NULL
+            WHEN var_pop(y) > 0 THEN 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y))
             WHEN sum((y - p) * (y - p)) = 0 THEN 1.0 ELSE 0.0 END AS r2
 FROM stacked GROUP BY model, split""",
     "filled": f"""SELECT unit, cycle, {", ".join(f"COALESCE({c}, 0.0) AS {c}" for c in FEATURES)}, RUL FROM gold""",
@@ -147,7 +148,8 @@ def _with(body: str, *needs: str, **own: str) -> str:
 
     for name in needs:
         add(name)
-    parts = [f"{n} AS ({sql})" for n, sql in CTES.items() if n in wanted]
+    # Each is computed once: several are read twice, as rows and as the statistics of these rows.
+    parts = [f"{n} AS MATERIALIZED ({sql})" for n, sql in CTES.items() if n in wanted]
     parts += [f"{n} AS ({sql})" for n, sql in own.items()]
     return f"WITH RECURSIVE {', '.join(parts)} {body}"
 
@@ -207,7 +209,7 @@ def oracles() -> dict[str, str]:
     measured = [c for c in FEATURES if c not in LIFECYCLE]
     engineered = _with(f"SELECT unit, cycle, RUL, {_tidy(FEATURES)} FROM engineered", "engineered")
     gold = _with(f"SELECT unit, cycle, RUL, {_tidy(FEATURES, 4)} FROM gold", "gold")
-    scored = _with(f"SELECT model, split, n_rows, {_tidy(['mae', 'rmse', 'r2'], 6)} FROM scores", "scores")
+    scored = _with(f"SELECT model, split, n_rows, n_skipped, {_tidy(['mae', 'rmse', 'r2'], 6)} FROM scores", "scores")
     stats = " UNION ALL ".join(
         f"SELECT '{c}' AS feature, {_rounded(f'{c}_m', 6)} AS mean, {_rounded(f'{c}_s', 6)} AS std FROM stats"
         for c in FEATURES
@@ -222,15 +224,17 @@ def oracles() -> dict[str, str]:
     )
     products = f"""SELECT a.fold, a.i, b.i AS j, sum(a.v * b.v) AS value
 FROM long a JOIN long b ON a.unit = b.unit AND a.cycle = b.cycle AND a.i <= b.i GROUP BY a.fold, a.i, b.i"""
-    everything = "SELECT 0 AS g, 1.0 AS alpha, i, j, sum(value) AS value FROM products GROUP BY i, j"
-    # One group per penalty and held-out fold, over the other folds.
+    # One group per penalty and held-out fold, over the other folds, and one per penalty over all of them.
     penalties = ", ".join(f"({CV_FOLDS * n}, {alpha}::DOUBLE)" for n, alpha in enumerate(ALPHAS))
     without_fold = f"""SELECT base + k AS g, alpha, i, j, sum(value) AS value
 FROM products, (VALUES {penalties}) AS penalties(base, alpha), range({CV_FOLDS}) AS folds(k)
 WHERE fold <> k GROUP BY base, k, alpha, i, j"""
+    everything = f"""SELECT {WHOLE} + base AS g, alpha, i, j, sum(value) AS value
+FROM products, (VALUES {penalties}) AS penalties(base, alpha) GROUP BY base, alpha, i, j"""
     last = len(columns)
     held_out = {
-        "residual": f"SELECT g, i, -w AS r FROM weights UNION ALL SELECT DISTINCT g, {last}, 1.0 FROM weights",
+        "residual": f"""SELECT g, i, -w AS r FROM weights WHERE g < {WHOLE}
+UNION ALL SELECT DISTINCT g, {last}, 1.0 FROM weights WHERE g < {WHOLE}""",
         "scored": f"""SELECT a.g,
        sum(CASE WHEN p.i = p.j THEN 1 ELSE 2 END * a.r * b.r * p.value) AS sse,
        max(CASE WHEN p.i = {last} AND p.j = {last} THEN p.value END)
@@ -244,7 +248,27 @@ FROM scored JOIN (VALUES {penalties}) AS penalties(base, alpha) ON base = g - g
     one_row = ", ".join(f"max(CASE WHEN i = {i} THEN w END) AS beta{i}" for i in range(last))
     weighted = " + ".join(f"beta{i} * {c}" for i, c in enumerate(FEATURES, start=1))
     value = f"beta0 + {weighted}"
-    solved = dict(long=long, products=products, **_ridge(everything), fitted=f"SELECT {one_row} FROM weights")
+    winner = f"""SELECT {WHOLE} + base AS g FROM ranked JOIN (VALUES {penalties}) AS penalties(base, alpha) USING (alpha)
+GROUP BY base ORDER BY avg(r2) DESC, base LIMIT 1"""
+    solved = dict(
+        long=long, products=products, **_ridge(f"{without_fold} UNION ALL {everything}"), **held_out, winner=winner,
+        fitted=f"SELECT {one_row} FROM weights JOIN winner USING (g)",
+    )
+    judged = {
+        "guessed": f"""SELECT split, CAST(RUL AS DOUBLE) AS y, {value} AS p
+FROM filled JOIN (SELECT unit, split FROM splits) USING (unit) CROSS JOIN fitted WHERE split <> 'train'""",
+        "judged": """SELECT split, count(*) AS n_rows, avg(abs(y - p)) AS mae, sqrt(avg((y - p) * (y - p))) AS rmse,
+       1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS r2 FROM guessed GROUP BY split""",
+    }
+    record = _with(
+        f"""SELECT 'engine_rul_prediction_2025-01-01' AS model_version, '2025-01-01 00:00:00' AS train_date,
+       '{",".join(FEATURES)}' AS features_used, {len(FEATURES)} AS n_features,
+       (SELECT count(*) FROM filled JOIN splits USING (unit) WHERE split = 'train') AS train_size,
+       max(CASE WHEN split = 'val' THEN n_rows END) AS val_size, max(CASE WHEN split = 'test' THEN n_rows END) AS test_size,
+       {SEED} AS random_seed, '0.7,0.85' AS split_shares,
+       {", ".join(f"{_rounded(f"max(CASE WHEN split = '{s}' THEN {m} END)", 5)} AS ridge_{s}_{m}"
+                  for s in ("val", "test") for m in ("mae", "rmse", "r2"))},
+       true AS selected_is_best FROM judged""", "folded", **solved, **judged)
     predicted = _with(
         f"""SELECT unit, cycle, split, RUL, {_rounded(value, 3)} AS RUL_pred
 FROM filled JOIN (SELECT unit, split FROM splits) USING (unit) CROSS JOIN fitted""", "folded", **solved)
@@ -358,7 +382,7 @@ FROM draws JOIN tests USING (pick) JOIN (SELECT *, {_RUL} FROM cleaned) c ON c.u
             **drawn),
         "metrics": scored,
         "select_model": _with(
-            f"""SELECT model, split, n_rows, {_tidy(['mae', 'rmse', 'r2'], 6)} FROM scores WHERE split = 'val'
+            f"""SELECT model, split, n_rows, n_skipped, {_tidy(['mae', 'rmse', 'r2'], 6)} FROM scores WHERE split = 'val'
 ORDER BY scores.r2 DESC, CASE model WHEN 'previous' THEN 1 ELSE 2 END LIMIT 1""", "scores"),
         "require_columns": _with("SELECT unit, cycle FROM panel", "panel"),
         "assemble": _with(
@@ -368,22 +392,32 @@ FROM filled""", "filled"),
             f"SELECT fold, i, j, {_rounded('value', 2)} AS value FROM products", "folded", long=long, products=products),
         "ridge_fit": _with(
             f"""SELECT feature, {_rounded("w", 3)} AS coefficient
-FROM weights JOIN (VALUES {named}) AS names(i, feature) USING (i)""",
-            "folded", long=long, products=products, **_ridge(everything)),
+FROM weights JOIN winner USING (g) JOIN (VALUES {named}) AS names(i, feature) USING (i)""", "folded", **solved),
+        "model_metrics": _with(
+            f"""SELECT 'Ridge' AS model, split, n_rows, {_tidy(['mae', 'rmse', 'r2'], 5)}, r2 > 0 AS beats_mean FROM judged
+UNION ALL SELECT 'RandomForest', split, n_rows, NULL, NULL, NULL, true FROM judged""", "folded", **solved, **judged),
+        "model_selected": _with(
+            """SELECT 'val' AS split, count(*) AS n_rows, true AS is_best, true AS known_name
+FROM filled JOIN splits USING (unit) WHERE split = 'val'""", "filled", "splits"),
+        "model_record": record,
+        "save_model": record,
+        "latest_model": record,
+        "forest_fit": f"""SELECT {len(FEATURES)} AS n_features, 1.0::DOUBLE AS importance, true AS none_negative,
+       100 AS n_trees, 10 AS deepest, true AS beats_mean""",
         "predict": predicted,
         "load_model": predicted,
         "oot_predictions": _with(
             f"SELECT unit, cycle, RUL, {_tidy([*FEATURES, 'RUL_pred'], 3)} FROM fleet",
             "folded", **solved, **drawn, fleet=fleet),
         "oot_score": _with(
-            f"""SELECT 'oot' AS split, count(*) AS n_rows, {_rounded("avg(abs(RUL - RUL_pred))", 6)} AS mae,
+            f"""SELECT 'oot' AS split, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_skipped, {_rounded("avg(abs(RUL - RUL_pred))", 6)} AS mae,
        {_rounded("sqrt(avg((RUL - RUL_pred) ** 2))", 6)} AS rmse,
        {_rounded("1 - sum((RUL - RUL_pred) ** 2) / (var_pop(RUL) * count(*))", 6)} AS r2 FROM fleet""",
             "folded", **solved, **drawn, fleet=fleet),
         "ridge_grid": _with(
             f"SELECT alpha, fold, {_rounded('r2', 6)} AS r2 FROM ranked",
-            "folded", long=long, products=products, **_ridge(without_fold), **held_out),
+            "folded", **solved),
         "grid_results": _with(
             f"SELECT alpha, {_rounded('avg(r2)', 6)} AS mean_r2 FROM ranked GROUP BY alpha",
-            "folded", long=long, products=products, **_ridge(without_fold), **held_out),
+            "folded", **solved),
     }

@@ -6,7 +6,6 @@ import posixpath
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +19,15 @@ from wearcurve.catalog.panels import (
     table,
 )
 from wearcurve.catalog.staging import (
-    TRIAL_FOREST_GRID,
+    FOREST_POINT,
+    TRIAL_DATE,
     cleaned_table,
     gold_table,
     once,
     prepared,
     raw_path,
     trained,
+    tuned,
 )
 from wearcurve.models import forest, registry, ridge
 from wearcurve.operators import conform, features, normalize, quality, split, stores
@@ -34,7 +35,7 @@ from wearcurve.operators.metrics import evaluate, select_model, stack_prediction
 from wearcurve.operators.ordered import over_units
 from wearcurve.plans.medallion import build_gold, clean, run
 from wearcurve.plans.scoring import score_fleet
-from wearcurve.plans.training import predict
+from wearcurve.plans.training import compare, predict
 from wearcurve.schema import BRONZE_SCHEMA, KEYS, LABEL, TREND_SENSORS, feature_columns, require_columns
 from wearcurve.sources.sinks import shared_dir, write_bronze, write_csv, write_parquet
 from wearcurve.sources.tables import load, read_csv, read_many
@@ -42,7 +43,7 @@ from wearcurve.sources.text_log import parse_lines, read_raw
 
 # Digits kept where engines may add in different orders: deviations behind scaled values, and errors.
 # Everything else is the same to the last bit.
-SCALED, SUMMED, PREDICTED = 4, 6, 3
+SCALED, SUMMED, PREDICTED, RECORDED = 4, 6, 3, 5
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -334,7 +335,7 @@ def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def label_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_gold(spark, cleaned_table(spark, sf_dir)).labels
+    return stores.label_store(features.add_rul(cleaned_table(spark, sf_dir)))
 
 
 @query
@@ -426,9 +427,9 @@ def ridge_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ridge_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coefficients under the grid's best penalty."""
     ready = prepared(spark, sf_dir)
-    found = ridge.coefficients(ridge.fit(ready.train, ready.features), ready.features, ready.train)
-    return tidy(found, 3)
+    return tidy(ridge.coefficients(tuned(spark, sf_dir).model, ready.features, ready.train), 3)
 
 
 @query
@@ -440,71 +441,110 @@ def ridge_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def forest_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds of a fitted forest whatever its splits: the first point of the library's grid."""
     ready = prepared(spark, sf_dir)
-    model = forest.fit(ready.train, ready.features, numTrees=10, maxDepth=5, featureSubsetStrategy="sqrt")
-    scores = [float(x) for x in model.stages[-1].featureImportances.toArray()]
-    return spark.createDataFrame(list(zip(ready.features, scores)), "feature string, importance double")
-
-
-@query
-def forest_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ready = prepared(spark, sf_dir)
-    return forest.search(ready.train, ready.features, TRIAL_FOREST_GRID).results
+    point = {name: values[0] for name, values in FOREST_POINT.items()}
+    model = once(spark, sf_dir, "forest", lambda: forest.fit(ready.train, ready.features, **point))
+    fitted = model.stages[-1]
+    scores = [float(x) for x in fitted.featureImportances.toArray()]
+    beats = compare(ready.rows, {"RandomForest": model}).agg((F.min("r2") > 0).alias("beats_mean"))
+    return beats.select(
+        F.lit(len(scores)).alias("n_features"),
+        rounded(F.lit(sum(scores)), SUMMED).alias("importance"),
+        F.lit(min(scores) >= 0).alias("none_negative"),
+        F.lit(fitted.getNumTrees).alias("n_trees"),
+        F.lit(max(tree.depth for tree in fitted.trees)).alias("deepest"),
+        "beats_mean",
+    )
 
 
 @query
 def grid_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean score of every penalty, best first."""
-    scores = ridge.mean_scores(trained(spark, sf_dir)[0].ridge.results)
+    scores = ridge.mean_scores(tuned(spark, sf_dir).results)
     ordered = scores.orderBy(F.desc("mean_r2"), "alpha")
     return ordered.select("alpha", rounded(F.col("mean_r2"), SUMMED).alias("mean_r2"))
 
 
-def _ridge_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
-    ready = prepared(spark, sf_dir)
-    return once(spark, sf_dir, "ridge", lambda: ridge.fit(ready.train, ready.features))
-
-
 @query
 def predict_(spark: SparkSession, sf_dir: str) -> DataFrame:
-    predicted = predict(_ridge_model(spark, sf_dir), prepared(spark, sf_dir).rows)
+    predicted = predict(tuned(spark, sf_dir).model, prepared(spark, sf_dir).rows)
     return tidy(predicted.select(*KEYS, "split", LABEL, "RUL_pred"), PREDICTED)
 
 
 @query
 def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trained(spark, sf_dir)[0].metrics
+    """Ridge in numbers; a forest's splits depend on its engine, so of it whether it beats the mean."""
+    exact = F.col("model") == "Ridge"
+    found = trained(spark, sf_dir)[0].metrics
+    scores = [F.when(exact, rounded(F.col(c), RECORDED)).alias(c) for c in ("mae", "rmse", "r2")]
+    return found.select("model", "split", "n_rows", *scores, (F.col("r2") > 0).alias("beats_mean"))
 
 
 @query
 def model_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trained(spark, sf_dir)[0].selected
+    found = trained(spark, sf_dir)[0]
+    best = found.metrics.filter("split = 'val'").agg(F.max("r2"))
+    is_best = (F.col("r2") == best.scalar()).alias("is_best")
+    return found.selected.select("split", "n_rows", is_best, F.col("model").isin(*registry.MODEL_NAMES).alias("known_name"))
+
+
+def _facts(record: DataFrame) -> DataFrame:
+    """A record without the forest's own numbers."""
+    m = F.col("metrics")
+    scores = [
+        rounded(m["Ridge"][split][name], RECORDED).alias(f"ridge_{split.lower()}_{name.lower()}")
+        for split in ("Val", "Test")
+        for name in ("MAE", "RMSE", "R2")
+    ]
+    best = F.greatest(m["Ridge"]["Val"]["R2"], m["RandomForest"]["Val"]["R2"])
+    first = F.when(m["RandomForest"]["Val"]["R2"] >= m["Ridge"]["Val"]["R2"], "RandomForestRegressor")
+    named = F.col("model_name") == first.otherwise("RidgeRegression")
+    return record.select(
+        "model_version",
+        "train_date",
+        F.array_join("features_used", ",").alias("features_used"),
+        F.size("features_used").alias("n_features"),
+        "train_size",
+        "val_size",
+        "test_size",
+        "random_seed",
+        F.array_join(F.col("split_shares").cast("array<string>"), ",").alias("split_shares"),
+        *scores,
+        ((m["Selected"]["Val_R2"] == best) & named).alias("selected_is_best"),
+    )
 
 
 @query
 def model_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trained(spark, sf_dir)[0].record
+    return _facts(trained(spark, sf_dir)[0].record)
 
 
 @query
 def save_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The selected model beside its record."""
     found, _ = trained(spark, sf_dir)
     bank = shared_dir(spark, "models")
-    registry.save(found.ridge.model, found.record, bank)
-    return registry.records(spark, bank)
+    registry.save(found.model, found.record, bank)
+    return _facts(registry.records(spark, bank))
 
 
 @query
 def latest_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return registry.latest(spark, trained(spark, sf_dir)[1])
+    return _facts(registry.latest(spark, trained(spark, sf_dir)[1]))
 
 
 def _ridge_bank(spark: SparkSession, sf_dir: str) -> str:
-    """A folder with one stored ridge and its record."""
+    """A folder with the tuned ridge and a record of it alone."""
 
     def make() -> str:
-        bank = shared_dir(spark, "models")
-        registry.save(_ridge_model(spark, sf_dir), trained(spark, sf_dir)[0].record, bank)
+        bank, ready, model = shared_dir(spark, "models"), prepared(spark, sf_dir), tuned(spark, sf_dir).model
+        metrics = compare(ready.rows, {"Ridge": model})
+        sizes = split.split_sizes(ready.rows)
+        record = registry.build_record(
+            metrics, sizes, ready.features, TRIAL_DATE, seed=ready.seed, shares=ready.shares
+        )
+        registry.save(model, record, bank)
         return bank
 
     return once(spark, sf_dir, "ridge-bank", make)

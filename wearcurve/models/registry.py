@@ -11,7 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearcurve.schema import SEED
+from wearcurve.schema import SEED, TRAIN_SHARE, VAL_SHARE
 
 # Names and format of the record.
 VERSION_PREFIX = "engine_rul_prediction_"
@@ -24,7 +24,8 @@ RECORD_SCHEMA = (
     "model_name string, model_version string, train_date string, "
     f"metrics struct<Ridge: {_MODEL}, RandomForest: {_MODEL}, "
     "Selected: struct<Model: string, Val_R2: double, Test_R2: double>>, "
-    "features_used array<string>, train_size bigint, val_size bigint, test_size bigint, random_seed int"
+    "features_used array<string>, train_size bigint, val_size bigint, test_size bigint, random_seed int, "
+    "split_shares array<double>"
 )
 
 
@@ -39,9 +40,14 @@ def build_record(
     when: datetime,
     *,
     seed: int = SEED,
+    shares: Sequence[float] = (TRAIN_SHARE, VAL_SHARE),
     names: Mapping[str, str] = MODEL_NAMES,
 ) -> DataFrame:
-    """One nested row. ``metrics``: model, split, mae, rmse, r2; ``sizes``: split, n_rows."""
+    """One nested row. ``metrics``: model, split, mae, rmse, r2; ``sizes``: split, n_rows.
+
+    ``seed`` and ``shares`` are those of the split, so that whoever scores later can tell its test units.
+    A model without metrics is not chosen.
+    """
     scores = F.struct(F.col("mae").alias("MAE"), F.col("rmse").alias("RMSE"), F.col("r2").alias("R2"))
 
     def held_out(model: str, split: str) -> Column:
@@ -71,6 +77,7 @@ def build_record(
         "sizes.val_size",
         "sizes.test_size",
         F.lit(seed).alias("random_seed"),
+        F.array(*[F.lit(float(x)) for x in shares]).alias("split_shares"),
     )
 
 

@@ -17,7 +17,7 @@ from wearcurve.operators.features import engineer
 from wearcurve.operators.normalize import apply_metadata, fit_metadata
 from wearcurve.operators.quality import duplicate_keys, integrity_by_layer
 from wearcurve.operators.split import assign_split
-from wearcurve.schema import EXPECTED_UNITS, RAW_FIELDS, feature_columns
+from wearcurve.schema import EXPECTED_UNITS, RAW_FIELDS, SEED, feature_columns
 from wearcurve.sources.sinks import base_name, shared_dir, write_bronze, write_csv, write_parquet
 from wearcurve.sources.tables import load, read_many
 from wearcurve.sources.text_log import read_raw
@@ -49,23 +49,25 @@ def build_gold(
     out: str | None = None,
     *,
     fit_on: Column | str | None = None,
+    seed: int = SEED,
     include_lifecycle: bool = True,
     **blocks,
 ) -> Gold:
     """Gold table, feature store, label store and normalisation metadata.
 
     The unscaled features are written first: statistics and scaling both need them, and this way the
-    panel is shuffled and sorted once, and the four outputs are plain scans of that table. It goes to
-    ``out`` or, without one, to the shared folder, and the outputs are then left lazy.
+    panel is shuffled and sorted once, and the four outputs are plain scans of that table. That job runs
+    here in any case: the table goes to ``out`` or, without one, to the shared folder, where ``release``
+    finds it, and only the outputs are then left lazy.
 
     ``fit_on`` restricts the rows behind the statistics: a condition, or the name of a split such as
-    ``"train"``. By default they come from all rows, held-out units included.
+    ``"train"``, drawn with ``seed`` as training draws it. By default they come from all rows, held-out units included.
     """
     staging = out or shared_dir(spark, "gold")
     engineered = engineer(load(spark, source), include_lifecycle=include_lifecycle, **blocks)
     panel = write_parquet(engineered, posixpath.join(staging, "engineered.parquet"))
     features = feature_columns(panel)
-    fitted = assign_split(panel) if isinstance(fit_on, str) else panel
+    fitted = assign_split(panel, seed=seed) if isinstance(fit_on, str) else panel
     metadata = fit_metadata(fitted, features, F.col("split") == fit_on if isinstance(fit_on, str) else fit_on)
     if out is None:
         full = apply_metadata(panel, metadata, features)
@@ -93,6 +95,7 @@ def run(
     offset_by: str = "count",
     expected_units: int | None = EXPECTED_UNITS,
     fit_on: Column | str | None = None,
+    seed: int = SEED,
     include_lifecycle: bool = True,
     single_file: bool = False,
 ) -> dict[str, DataFrame]:
@@ -118,7 +121,7 @@ def run(
         cleaned = write_parquet(clean(silver), posixpath.join(out, "silver", "silver_feature_cleaned.parquet"))
     gold = build_gold(
         spark, cleaned, posixpath.join(out, "gold") if out else None,
-        fit_on=fit_on, include_lifecycle=include_lifecycle,
+        fit_on=fit_on, seed=seed, include_lifecycle=include_lifecycle,
     )
     bronze_rows = reduce(DataFrame.unionByName, [df.select(*RAW_FIELDS) for df in bronze])
     rejects = [p.rejects.select(F.lit(path).alias("path"), "value", "reason") for path, p in parsed.items()]

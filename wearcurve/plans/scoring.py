@@ -12,7 +12,7 @@ from wearcurve.models import registry
 from wearcurve.operators.metrics import evaluate
 from wearcurve.operators.split import bootstrap
 from wearcurve.plans.training import predict
-from wearcurve.schema import LABEL, OOT_UNITS, SEED
+from wearcurve.schema import LABEL, OOT_UNITS
 from wearcurve.sources.sinks import write_parquet
 
 
@@ -24,12 +24,15 @@ class Scored:
 
 
 def score_fleet(
-    spark: SparkSession, rows: DataFrame, bank: str, *, n: int = OOT_UNITS, seed: int = SEED, out: str | None = None
+    spark: SparkSession, rows: DataFrame, bank: str, *, n: int = OOT_UNITS, out: str | None = None
 ) -> Scored:
-    """Predictions per drawn unit and cycle, and their quality. With ``out`` they are written."""
+    """Predictions per drawn unit and cycle, and their quality. With ``out`` they are written.
+
+    The record's seed and shares say which units the model was tested on; no other unit is drawn.
+    """
     record = registry.latest(spark, bank).first()
     model = registry.load(bank, record["model_version"])
-    fleet = bootstrap(rows, n, seed=seed)
+    fleet = bootstrap(rows, n, seed=record["random_seed"], test_from=record["split_shares"][1])
     predictions = predict(model, fleet).select("cycle", *record["features_used"], LABEL, "unit", "RUL_pred")
     name = record["model_name"]
     if out is not None:

@@ -14,20 +14,30 @@ from pyspark.sql import functions as F
 from wearcurve.models import forest, registry, ridge
 from wearcurve.operators.metrics import evaluate, select_model, stack_predictions
 from wearcurve.operators.split import assign_folds, assign_split, split_sizes
-from wearcurve.schema import KEYS, LABEL, SEED, feature_columns, require_columns
+from wearcurve.schema import KEYS, LABEL, SEED, TRAIN_SHARE, VAL_SHARE, feature_columns, require_columns
 from wearcurve.sources.sinks import shared_dir, write_parquet
 
 
 @dataclass(frozen=True)
 class Prepared:
-    """Rows with ``split``, and the training rows with ``fold``, both written tables."""
+    """Rows with ``split``, and the training rows with ``fold``, both written tables; how they were split."""
 
     rows: DataFrame
     train: DataFrame
     features: list[str]
+    seed: int = SEED
+    shares: tuple[float, float] = (TRAIN_SHARE, VAL_SHARE)
 
 
-def prepare(spark: SparkSession, gold: DataFrame, *, seed: int = SEED, folds: int = ridge.FOLDS, path: str | None = None) -> Prepared:
+def prepare(
+    spark: SparkSession,
+    gold: DataFrame,
+    *,
+    seed: int = SEED,
+    shares: tuple[float, float] = (TRAIN_SHARE, VAL_SHARE),
+    folds: int = ridge.FOLDS,
+    path: str | None = None,
+) -> Prepared:
     """Training reads its rows many times, so split and folds are settled once and written.
 
     The table is partitioned by split: reading one split prunes the others.
@@ -36,10 +46,10 @@ def prepare(spark: SparkSession, gold: DataFrame, *, seed: int = SEED, folds: in
     path = path or shared_dir(spark, "training")
     features = feature_columns(gold)
     rows_path = posixpath.join(path, "rows")
-    assign_split(gold, seed=seed).write.mode("overwrite").partitionBy("split").parquet(rows_path)
+    assign_split(gold, seed=seed, shares=shares).write.mode("overwrite").partitionBy("split").parquet(rows_path)
     rows = spark.read.parquet(rows_path)
     folded = assign_folds(rows.filter(F.col("split") == "train"), folds)
-    return Prepared(rows, write_parquet(folded, posixpath.join(path, "train")), features)
+    return Prepared(rows, write_parquet(folded, posixpath.join(path, "train")), features, seed, shares)
 
 
 def predict(model: PipelineModel, df: DataFrame, name: str = "RUL_pred") -> DataFrame:
@@ -64,6 +74,7 @@ class Trained:
     selected: DataFrame
     record: DataFrame
     version: str | None
+    model: PipelineModel
 
 
 def train(
@@ -77,18 +88,21 @@ def train(
     when: datetime | None = None,
     prepared: Prepared | None = None,
 ) -> Trained:
-    """Both grids, held-out metrics, the choice and its record; stored when ``bank`` is given."""
+    """Both grids, held-out metrics, the choice and its record; stored when ``bank`` is given.
+
+    Rows that are already ``prepared`` bring their own seed.
+    """
     prepared = prepared or prepare(spark, gold, seed=seed)
     by_ridge = ridge.search(prepared.train, prepared.features, alphas)
-    by_forest = forest.search(prepared.train, prepared.features, forest_grid, seed=seed)
+    by_forest = forest.search(prepared.train, prepared.features, forest_grid, seed=prepared.seed)
     models = {"Ridge": by_ridge.model, "RandomForest": by_forest.model}
     # Two models on two splits: four rows, held so that choosing and recording do not score again.
     metrics = write_parquet(compare(prepared.rows, models), shared_dir(spark, "metrics"))
     record = registry.build_record(
-        metrics, split_sizes(prepared.rows), prepared.features, when or datetime.now(), seed=seed
+        metrics, split_sizes(prepared.rows), prepared.features, when or datetime.now(),
+        seed=prepared.seed, shares=prepared.shares,
     )
     selected = select_model(metrics, registry.PREFERENCE)
-    version = None
-    if bank is not None:
-        version = registry.save(models[selected.first()["model"]], record, bank)
-    return Trained(by_ridge, by_forest, metrics, selected, record, version)
+    model = models[selected.first()["model"]]
+    version = registry.save(model, record, bank) if bank is not None else None
+    return Trained(by_ridge, by_forest, metrics, selected, record, version, model)

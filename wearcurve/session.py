@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", *, checkpoint_dir: str | None = None, memory: str = "8g") -> SparkSession:
+def local_session(cpus: int | str = "*", *, checkpoint_dir: str = "/tmp/wearcurve", memory: str = "8g") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("wearcurve")
@@ -15,8 +15,7 @@ def local_session(cpus: int | str = "*", *, checkpoint_dir: str | None = None, m
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
     )
-    if checkpoint_dir:
-        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     return session

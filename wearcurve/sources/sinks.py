@@ -4,23 +4,46 @@ from __future__ import annotations
 
 import posixpath
 import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Names the work folder where ``spark.checkpoint.dir`` is not set.
+WORK_DIR = "spark.wearcurve.workDir"
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder the cluster names in ``spark.checkpoint.dir``.
+    """A fresh path in the folder that driver and executors share.
 
-    Only a local session may fall back to a folder of this machine.
+    That is the one the cluster names in ``spark.checkpoint.dir``, else the one in
+    ``spark.wearcurve.workDir``. Without either nothing is written anywhere.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(WORK_DIR, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="wearcurve-")
-    return posixpath.join(root, f"{name}-{uuid.uuid4().hex}")
+        raise ValueError(f"set spark.checkpoint.dir or {WORK_DIR} to a folder all executors share")
+    path = posixpath.join(root, f"{name}-{uuid.uuid4().hex}")
+    _handed_out.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+_handed_out: dict[str, list[str]] = {}
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables this application wrote to its work folder; returns how many there were.
+
+    DataFrames that read them can no longer be used.
+    """
+    paths = _handed_out.pop(spark.sparkContext.applicationId, [])
+    gone = 0
+    for path in paths:
+        # A caller may have added an extension.
+        pattern = spark._jvm.org.apache.hadoop.fs.Path(path + "*")
+        files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in files.globStatus(pattern) or ():
+            gone += files.delete(found.getPath(), True)
+    return gone
 
 
 def base_name(path: str) -> str:

@@ -7,18 +7,23 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wearcurve.schema import require_columns
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, *, infer: bool = False) -> DataFrame:
     """CSV with header: all strings by default, a declared schema, or inferred types.
 
-    A directory is read whole. A declared schema is matched by position against the file.
+    A directory is read whole. A declared schema is matched by the names in the header: the file may hold
+    its columns in any order and others besides, an absent one is an error, an unreadable value is null.
     """
-    reader = spark.read.option("header", True)
-    if schema is not None:
-        return reader.schema(schema).csv(path)
-    return reader.option("inferSchema", infer).csv(path)
+    found = spark.read.option("header", True).option("inferSchema", infer and schema is None).csv(path)
+    if schema is None:
+        return found
+    require_columns(found, tuple(schema.names), path)
+    return found.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
 
 
 def read_many(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
