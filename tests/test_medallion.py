@@ -55,7 +55,22 @@ def test_gold_contract(layers, spark):
     assert joined.count() == 50 and set(joined.columns) == set(written["gold"].columns)
     names = {"gold_full.parquet", "feature_store.parquet", "label_store.parquet", "feature_metadata.csv"}
     assert names <= {p.name for p in (out / "gold").iterdir()}
-    assert {p.name for p in (out / "bronze").iterdir()} == {"bronze_train_1", "bronze_train_2"}
+    folders = {p.name for p in (out / "bronze").iterdir() if p.is_dir()}
+    assert folders == {"dataset=bronze_train_1", "dataset=bronze_train_2"}
+
+
+def test_plan_does_not_grow_with_the_files(spark, raw, tmp_path):
+    from wearcurve.sources.text_log import read_raws
+
+    more = []
+    for i in range(9):
+        (tmp_path / f"more {i}.txt").write_text((tmp_path / raw[i % 2]).read_text())
+        more.append(str(tmp_path / f"more {i}.txt"))
+    few, many = (read_raws(spark, p).rows for p in (raw, more))
+    nodes = [df._jdf.queryExecution().optimizedPlan().toString().count("\n") for df in (few, many)]
+    assert nodes[0] == nodes[1]
+    sizes = {r["source"]: r["count"] for r in many.groupBy("source").count().collect()}
+    assert sizes == {i: 42 if i % 2 else 8 for i in range(1, 10)}
 
 
 def test_bad_calls(spark, raw):

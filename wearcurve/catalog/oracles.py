@@ -327,6 +327,10 @@ FROM sources GROUP BY source""", "sources"),
         "integrity_by_layer": _with(
             f"SELECT layer, r.* FROM ({_report('panel')}) r, "
             "(VALUES ('bronze'), ('silver'), ('cleaned'), ('gold')) AS layers(layer)", "panel"),
+        "layers_of_many_files": _with(
+            """SELECT CAST(source AS INT) AS source, count(*) AS n_rows, count(DISTINCT unit) AS n_units,
+       min(unit + off) AS min_unit, max(unit + off) AS max_unit, count(W32) AS n_w32
+FROM sources JOIN offsets USING (source) GROUP BY source""", "sources", offsets=_offset("count(DISTINCT unit)")),
         "raw_stats": _with(
             """SELECT count(*) AS n_rows, count(DISTINCT unit) AS n_units, min(unit) AS min_unit,
        max(unit) AS max_unit FROM panel""", "panel"),

@@ -62,10 +62,22 @@ def silver_panel(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
 
 def panel_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The panel as raw text in ``value``; every third line carries outer blanks."""
+    return _lines(lineitem_panel(spark, sf_dir))
+
+
+def source_lines(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The three datasets as raw text."""
+    empty = F.lit(None).cast("double")
+    return [
+        _lines(df if "W32" in df.columns else df.withColumn("W32", empty)) for df in panel_sources(spark, sf_dir)
+    ]
+
+
+def _lines(panel: DataFrame) -> DataFrame:
     fields = [F.coalesce(F.col(c).cast("string"), F.lit("NaN")) for c in RAW_FIELDS]
     line = F.concat_ws(" ", *fields)
     padded = F.when(F.col("cycle") % 3 == 0, F.concat(F.lit("  "), line, F.lit(" \t"))).otherwise(line)
-    return lineitem_panel(spark, sf_dir).select(padded.alias("value"))
+    return panel.select(padded.alias("value"))
 
 
 def panel_sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:

@@ -26,6 +26,7 @@ from wearcurve.catalog.staging import (
     once,
     prepared,
     raw_path,
+    raw_paths,
     trained,
     tuned,
 )
@@ -203,6 +204,19 @@ def integrity_by_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, [raw_path(spark, sf_dir)], shared_dir(spark, "layers"))["integrity"]
 
 
+@query
+def layers_of_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three raw logs with colliding unit ids through every written layer: what silver makes of each."""
+    layers = run(spark, raw_paths(spark, sf_dir), shared_dir(spark, "layers"))
+    return layers["silver"].groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("unit").alias("n_units"),
+        F.min("unit").alias("min_unit"),
+        F.max("unit").alias("max_unit"),
+        F.count("W32").alias("n_w32"),
+    )
+
+
 @query
 def raw_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.raw_stats(read_raw(spark, raw_path(spark, sf_dir)).rows)

@@ -8,7 +8,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wearcurve.catalog.panels import panel_lines, silver_panel
+from wearcurve.catalog.panels import panel_lines, silver_panel, source_lines
 from wearcurve.models.forest import FOREST_GRID
 from wearcurve.models.ridge import RidgeSearch, search
 from wearcurve.operators.normalize import fill_missing
@@ -59,6 +59,19 @@ def raw_path(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "raw", write)
 
 
+def raw_paths(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Three raw logs whose unit ids collide."""
+
+    def write() -> list[str]:
+        root = shared_dir(spark, "raws")
+        paths = [f"{root}/train_{i}.txt" for i in (1, 2, 3)]
+        for lines, path in zip(source_lines(spark, sf_dir), paths):
+            lines.write.mode("overwrite").text(path)
+        return paths
+
+    return once(spark, sf_dir, "raws", write)
+
+
 def prepared(spark: SparkSession, sf_dir: str) -> Prepared:
     """Scaled rows with missing readings at the fleet mean, so that no row is lost to a regressor."""
 

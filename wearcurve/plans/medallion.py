@@ -5,22 +5,22 @@ from __future__ import annotations
 import posixpath
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wearcurve.operators import stores
-from wearcurve.operators.conform import conform, drop_constant, drop_correlated, shared_units
+from wearcurve.operators.conform import cast_columns, drop_constant, drop_correlated, shared_units, shift_units
 from wearcurve.operators.features import engineer
 from wearcurve.operators.normalize import apply_metadata, fit_metadata
+from wearcurve.operators.positions import bounded
 from wearcurve.operators.quality import duplicate_keys, integrity_by_layer
 from wearcurve.operators.split import assign_split
 from wearcurve.schema import EXPECTED_UNITS, RAW_FIELDS, SEED, feature_columns
-from wearcurve.sources.sinks import base_name, shared_dir, write_bronze, write_csv, write_parquet
-from wearcurve.sources.tables import load, read_many
-from wearcurve.sources.text_log import read_raw
+from wearcurve.sources.sinks import base_name, shared_dir, write_csv, write_parquet
+from wearcurve.sources.tables import load
+from wearcurve.sources.text_log import read_raws
 
 METADATA_SCHEMA = T.StructType(
     [
@@ -99,36 +99,44 @@ def run(
     include_lifecycle: bool = True,
     single_file: bool = False,
 ) -> dict[str, DataFrame]:
-    """Every layer as a DataFrame, by name. With ``out`` each layer is written and the next reads it."""
+    """Every layer as a DataFrame, by name. With ``out`` each layer is written and the next reads it.
+
+    All raw files are one scan, one parser and one write, whatever their number; ``source`` numbers them in
+    the order given. Bronze has a folder ``dataset=bronze_<file name>`` for each. Without ``out`` silver is
+    still written, to the shared folder, so that text is not parsed once for every layer.
+    """
     if not raw_paths:
         raise ValueError("no raw file given")
-    names = [base_name(p) for p in raw_paths]
-    if out is not None and len(set(names)) < len(names):
+    names = [f"bronze_{base_name(p)}" for p in raw_paths]
+    if len(set(names)) < len(names):
         raise ValueError(f"raw files share a base name: {sorted(names)}")
-    parsed = {path: read_raw(spark, path) for path in raw_paths}
-    if out is None:
-        bronze = [p.rows for p in parsed.values()]
-    else:
-        bronze_dir = posixpath.join(out, "bronze")
-        bronze = read_many(
-            spark,
-            [write_bronze(p.rows, path, bronze_dir, single_file=single_file) for path, p in parsed.items()],
-        )
-    silver = conform(bronze, offset_by=offset_by)
+    parsed = read_raws(spark, raw_paths)
+    bronze = parsed.rows
+    listed = spark.createDataFrame(list(zip(names, range(1, len(names) + 1), raw_paths)), "dataset string, source int, path string")
+    listed = bounded(listed, len(names))
+    if out is not None:
+        path = posixpath.join(out, "bronze")
+        named = bronze.join(listed.drop("path"), "source").drop("source")
+        write_csv(named, path, single_file=single_file, by=("dataset",))
+        text = ", ".join(f"{c} string" for c in RAW_FIELDS)
+        bronze = spark.read.schema(f"{text}, dataset string").option("header", True).csv(path)
+        bronze = bronze.join(listed.drop("path"), "dataset").drop("dataset")
+    silver = shift_units(cast_columns(bronze), offset_by=offset_by, n_sources=len(names))
+    silver_path = posixpath.join(out or shared_dir(spark, "layers"), "silver")
+    silver = write_parquet(silver.select(*RAW_FIELDS, "source"), posixpath.join(silver_path, "silver_feature.parquet"))
     cleaned = clean(silver)
     if out is not None:
-        silver = write_parquet(silver, posixpath.join(out, "silver", "silver_feature.parquet"))
-        cleaned = write_parquet(clean(silver), posixpath.join(out, "silver", "silver_feature_cleaned.parquet"))
+        cleaned = write_parquet(cleaned, posixpath.join(silver_path, "silver_feature_cleaned.parquet"))
     gold = build_gold(
         spark, cleaned, posixpath.join(out, "gold") if out else None,
         fit_on=fit_on, seed=seed, include_lifecycle=include_lifecycle,
     )
-    bronze_rows = reduce(DataFrame.unionByName, [df.select(*RAW_FIELDS) for df in bronze])
-    rejects = [p.rejects.select(F.lit(path).alias("path"), "value", "reason") for path, p in parsed.items()]
+    bronze_rows = bronze.select(*RAW_FIELDS)
+    rejects = parsed.rejects.join(listed.drop("dataset"), "source").select("path", "value", "reason")
     layers = {"bronze": bronze_rows, "silver": silver, "cleaned": cleaned, "gold": gold.full}
     return {
         "bronze": bronze_rows,
-        "rejects": reduce(DataFrame.unionByName, rejects),
+        "rejects": rejects,
         "silver": silver,
         "cleaned": cleaned,
         "gold": gold.full,

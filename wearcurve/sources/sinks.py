@@ -5,6 +5,7 @@ from __future__ import annotations
 import posixpath
 import re
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,8 +57,10 @@ def write_parquet(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, *, single_file: bool = False) -> str:
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, *, single_file: bool = False, by: Sequence[str] = ()) -> str:
+    """CSV with header, with one folder for each value of the columns ``by``."""
+    rows = df.coalesce(1) if single_file else df
+    rows.write.mode("overwrite").option("header", True).partitionBy(*by).csv(path)
     return path
 
 

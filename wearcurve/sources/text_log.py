@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearcurve.functions.expressions import nan_to_null
+from wearcurve.operators.positions import bounded
 from wearcurve.schema import KEYS, RAW_FIELDS
 
 # Ids are read as numbers first, since they may be written as 1.0.
@@ -24,23 +27,25 @@ class ParsedLog:
 
 
 def parse_lines(lines: DataFrame, *, pad_short: bool = True) -> ParsedLog:
-    """Column ``value`` -> named, typed columns.
+    """Column ``value`` -> named, typed columns; other columns stay, after them.
 
     Blank lines are skipped and outer blanks ignored; an unreadable field is null. A short line is padded
     with nulls unless ``pad_short`` is off. A line with too many fields, or without a readable unit and
     cycle, is rejected.
     """
     width = len(RAW_FIELDS)
+    kept = [c for c in lines.columns if c != "value"]
     inked = lines.filter(F.col("value").rlike(r"\S"))
-    text = inked.select("value", F.trim(F.regexp_replace("value", r"\s+", " ")).alias("_text"))
+    text = inked.select(*kept, "value", F.trim(F.regexp_replace("value", r"\s+", " ")).alias("_text"))
     # Inlined rather than selected: the parsed struct is computed once per line, and filters on its
     # fields stay above it instead of parsing the line again.
     parsed = text.select(
-        "value", "_text", F.inline(F.array(F.from_csv("_text", F.lit(_LINE_SCHEMA), _LINE_OPTIONS)))
+        *kept, "value", "_text", F.inline(F.array(F.from_csv("_text", F.lit(_LINE_SCHEMA), _LINE_OPTIONS)))
     )
     # Only a line the parser objected to is split again, to tell a field too many from a bad one.
     fields = F.when(F.col("_malformed").isNotNull(), F.size(F.split("_text", " "))).otherwise(width)
     typed = parsed.select(
+        *kept,
         "value",
         fields.alias("_fields"),
         *[
@@ -55,10 +60,37 @@ def parse_lines(lines: DataFrame, *, pad_short: bool = True) -> ParsedLog:
     )
     judged = typed.withColumn("reason", reason)
     return ParsedLog(
-        judged.filter(F.col("reason").isNull()).select(*RAW_FIELDS),
-        judged.filter(F.col("reason").isNotNull()).select("value", "reason"),
+        judged.filter(F.col("reason").isNull()).select(*RAW_FIELDS, *kept),
+        judged.filter(F.col("reason").isNotNull()).select("value", "reason", *kept),
     )
 
 
 def read_raw(spark: SparkSession, path: str | list[str], *, pad_short: bool = True) -> ParsedLog:
     return parse_lines(spark.read.text(path), pad_short=pad_short)
+
+
+def read_raws(spark: SparkSession, paths: Sequence[str], *, pad_short: bool = True) -> ParsedLog:
+    """Many files or folders of parts in one scan, with ``source``, the number of a line's path from 1.
+
+    The plan does not grow with the number of paths.
+    """
+    lines = spark.read.text(list(paths))
+    place = F.regexp_replace(F.col("_metadata.file_path"), "^([a-z0-9]+):/+", "$1:/")
+    found = lines.select("value", place.alias("_file"), F.regexp_replace(place, "/[^/]*$", "").alias("_folder"))
+    listed = bounded(listing(spark, paths), len(paths))
+    for column in ("_file", "_folder"):
+        own = listed.select(F.col("place").alias(f"{column}_place"), F.col("source").alias(f"{column}_source"))
+        found = found.join(own, F.col(column) == F.col(f"{column}_place"), "left")
+    return parse_lines(found.select("value", F.coalesce("_file_source", "_folder_source").alias("source")), pad_short=pad_short)
+
+
+def listing(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``source, path, place``: the caller's paths, numbered from 1, and how a scan names them."""
+
+    def place(path: str) -> str:
+        given = spark._jvm.org.apache.hadoop.fs.Path(path)
+        whole = given.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(given)
+        return re.sub("^([a-z0-9]+):/+", r"\1:/", whole.toUri().toString())
+
+    rows = [(i, path, place(path)) for i, path in enumerate(paths, start=1)]
+    return spark.createDataFrame(rows, "source int, path string, place string")
