@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wearcurve.llm.work import WORD, stage, without, words
+from wearcurve.llm.work import WORD, sample_by_hash, stage, without, words
 
 MIN_WORDS = 50
 SYMBOLS = r"[#*$%&|<>]"
@@ -135,8 +135,8 @@ def learn(stats: DataFrame, bad: str, key: str = "doc_id", fit_rows: int = FIT_R
     rule, the list is empty.
     """
     hashed = F.xxhash64(F.lit(5), F.col(key))
-    sample = stats.filter(~F.col("base_failed") & F.col(bad).isNotNull())
-    sample = sample.orderBy(hashed, *[F.col(c) for c in stats.columns if c != key and not c == bad]).limit(fit_rows)
+    known = stats.filter(~F.col("base_failed") & F.col(bad).isNotNull())
+    sample = sample_by_hash(known, fit_rows, key, *[c for c in stats.columns if c != key])
     rows = stage(
         sample.select(F.col(bad).alias("bad"), (F.pmod(hashed, F.lit(3)) < 2).alias("grow"), *[_feature(f).alias(f) for f in FEATURES]),
         "labelled",

@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wearcurve.llm.work import stage
+from wearcurve.llm.work import sample_by_hash, stage
 
 CANDIDATE = r"[A-Za-z0-9+/_\-]{12,}={0,2}"
 #: Characters kept of the text on either side.
@@ -110,9 +110,9 @@ def train(seen: DataFrame, label: str = "is_secret", fit_rows: int = FIT_ROWS):
     At most ``fit_rows`` labelled rows of each class are used. With labels of one class alone, that class is certain;
     without any, nothing is a secret.
     """
-    hashed = F.xxhash64("doc_id", "text_hash", "start")
-    known = seen.filter(F.col(label).isNotNull()).withColumn("order", hashed)
-    of = lambda side: known.filter(F.col(label) == side).orderBy("order", "value").limit(fit_rows)
+    def of(side: bool) -> DataFrame:
+        return sample_by_hash(seen.filter(F.col(label) == side), fit_rows, "doc_id", "text_hash", "start", "value")
+
     sample = of(True).union(of(False)).select(F.col(label).cast("double").alias("label"), *FEATURES)
     sample = stage(sample, "findings")
     classes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
