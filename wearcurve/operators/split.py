@@ -6,12 +6,13 @@ of cut points in (unit, cycle) order: one row of constants, compared on each row
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from wearcurve.functions.expressions import digest_number, seeded_digest
 from wearcurve.operators.positions import DIGIT_BITS, bounded, rows_at
 from wearcurve.schema import OOT_UNITS, SEED, TRAIN_SHARE, VAL_SHARE
+from wearcurve.sources.sinks import shared_dir, write_parquet
 
 
 def distinct_units(df: DataFrame, unit: str = "unit") -> DataFrame:
@@ -26,7 +27,13 @@ def _ordered_units(df: DataFrame, unit: str, seed: int) -> tuple[DataFrame, Data
     """Units with their place in the order, and their count per leading digits of the digest."""
     units = distinct_units(df, unit).select(_unit_order(unit, seed).alias("_order"))
     units = units.withColumn("_lead", digest_number(F.col("_order.digest"), DIGIT_BITS // 4))
-    return units, units.groupBy("_lead").agg(F.count(F.lit(1)).alias("_n"))
+    return units, _counted(units.groupBy("_lead"))
+
+
+def _counted(groups: GroupedData) -> DataFrame:
+    """Rows per group, written: several levels of a search read them, and the panel is counted once."""
+    counts = groups.agg(F.count(F.lit(1)).alias("_n"))
+    return write_parquet(counts, shared_dir(counts.sparkSession, "counts"))
 
 
 def _cut(n: Column, share: float) -> Column:
@@ -94,7 +101,7 @@ def assign_folds(df: DataFrame, k: int = 3, *, unit: str = "unit", cycle: str =
         F.shiftright(unit, DIGIT_BITS).alias("_unit_lead"),
         F.shiftright(cycle, DIGIT_BITS).alias("_cycle_lead"),
     )
-    counts = keyed.groupBy("_unit_lead", unit, "_cycle_lead").agg(F.count(F.lit(1)).alias("_n"))
+    counts = _counted(keyed.groupBy("_unit_lead", unit, "_cycle_lead"))
     i, n = F.col("target"), F.col("n")
     targets = counts.agg(F.sum("_n").alias("n")).select(
         n, F.explode(F.sequence(F.lit(1), F.lit(k - 1))).alias("target")
