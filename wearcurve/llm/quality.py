@@ -3,7 +3,8 @@
 Sequential covering: a rule is grown literal by literal on one part of the labelled rows, the literal with the best
 information gain first, and pruned from its end on the other part. Rows it covers leave, and the next rule is grown,
 until a rule is no longer precise. Every count comes from a histogram of binned statistics that Spark makes; the driver
-sees some thousand counts a step. The list becomes one ordered conditional expression.
+sees some thousand counts a step. Thresholds end halfway between the values they part, and the list becomes one
+ordered conditional expression.
 """
 
 from __future__ import annotations
@@ -187,7 +188,29 @@ def learn(stats: DataFrame, bad: str, key: str = "doc_id", fit_rows: int = FIT_R
             break
         rules.append(tuple(grown[:k]))
         left = left.filter(~covers(grown[:k]))
-    return [tuple(Literal(FEATURES[f], above, float(thresholds[FEATURES[f]][k])) for f, above, k in r) for r in rules]
+    found = [tuple(Literal(FEATURES[f], above, float(thresholds[FEATURES[f]][k])) for f, above, k in r) for r in rules]
+    return _centred(found, rows)
+
+
+def _centred(rules: list[Rule], rows: DataFrame) -> list[Rule]:
+    """The same split of ``rows``, with each threshold halfway between the values on its sides."""
+    literals = sorted({x for rule in rules for x in rule}, key=lambda x: (x.feature, x.threshold, x.above))
+    if not literals:
+        return rules
+    sides = [
+        side
+        for x in literals
+        for side in (
+            F.max(F.when(F.col(x.feature) <= x.threshold, F.col(x.feature))),
+            F.min(F.when(F.col(x.feature) > x.threshold, F.col(x.feature))),
+        )
+    ]
+    seen = rows.agg(*[side.alias(f"side{i}") for i, side in enumerate(sides)]).first()
+    middle = {}
+    for i, x in enumerate(literals):
+        low, high = seen[2 * i], seen[2 * i + 1]
+        middle[x] = x if low is None or high is None else Literal(x.feature, x.above, (low + high) / 2)
+    return [tuple(middle[x] for x in rule) for rule in rules]
 
 
 def _best_literal(counts: dict, thresholds: dict[str, list[float]]) -> tuple[int, bool, int] | None:

@@ -7,11 +7,11 @@ little.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-import zlib
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +21,7 @@ from wearcurve.llm.word_bpe import library_ids
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
-#: Text bytes of a file; a range has about as many.
+#: Most text bytes of a range of documents, and so of a file, about.
 FILE_BYTES = 64 << 20
 
 
@@ -39,13 +39,14 @@ def write_tokens(
 
     Null and empty texts have the end id alone. Null keys come first. Rows of equal keys are ordered by a digest of
     their texts, so a key that many rows share is spread too. ``files`` is the number of ranges, by default one for
-    every shuffle partition.
+    every shuffle partition, and more if the texts are larger than ``FILE_BYTES`` for each.
     """
-    spark = docs.sparkSession
-    count = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if files is None:
+        total = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+        files = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + total // FILE_BYTES)
     tied = docs.select(*order, text, F.xxhash64(text).alias("tie"))
     keys = [F.col(k).asc_nulls_first() for k in (*order, "tie")]
-    ranged = tied.repartitionByRange(count, *keys).sortWithinPartitions(*keys)
+    ranged = tied.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
 
     def work(texts: list[bytes]) -> list[pa.Array]:
         ids, sizes = by_text(texts, ASCII_SPACE, library_ids(vocabulary))
@@ -76,8 +77,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 def token_starts(spark: SparkSession, path: str, order: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Each document with ``start``, the ids of all documents before it, and a checksum of its ids.
 
-    Files hold ranges of the order, and a file's name starts with its range's number: sums of whole files, one row
-    each, then a running sum inside each file.
+    Files hold ranges of the order, and a file's name has its range's number: sums of whole files, one row each, then
+    a running sum inside each file.
     """
     rows = read_tokens(spark, path).withColumn("file", F.col("_metadata.file_name"))
 
@@ -97,7 +98,8 @@ def token_starts(spark: SparkSession, path: str, order: Sequence[str] = ("doc_id
     totals = read_tokens(spark, path).groupBy(F.col("_metadata.file_name").alias("file")).agg(
         F.sum("n_tokens").alias("total")
     )
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    number = F.regexp_extract("file", r"^part-(\d+)", 1).cast("long")
+    before = Window.orderBy(number, "file").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("file", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
     keys = [F.col(k).asc_nulls_first() for k in (*order, "tie")]
     within = Window.partitionBy("file").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
