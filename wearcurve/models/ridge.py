@@ -82,7 +82,8 @@ def _solve(square: np.ndarray, alpha: float) -> np.ndarray:
     mean = square[0, 1:] / n
     spread = square[1:, 1:] / n - np.outer(mean, mean)
     variance = np.diag(spread)[:-1]
-    # A column that does not vary is centred to 0 and gets weight 0.
+    # A column that does not vary is centred to 0 and gets weight 0, as in MLlib's fit. On scaled columns,
+    # which are 0 throughout or have deviation 1, the margin for rounding makes no difference to that rule.
     varies = variance > 1e-12 * np.maximum(mean[:-1] ** 2, 1e-300)
     std = np.where(varies, np.sqrt(np.where(varies, variance, 1.0)), 1.0)
     scaled = spread[:-1, :-1] / np.outer(std, std) * np.outer(varies, varies)
