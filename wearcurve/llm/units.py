@@ -1,6 +1,6 @@
 """Texts cut into words that a tokenizer treats alone, so that each distinct word is worked on once.
 
-Words of a few megabytes of text are found, hashed and made distinct by numpy; only distinct ones become objects of
+Words of some megabytes of text are found, hashed and made distinct by numpy; only distinct ones become objects of
 Python. Equal hashes are compared byte by byte. A task remembers at most ``limit`` words between runs of texts, then
 starts anew, so its memory does not grow with its input.
 """
@@ -15,9 +15,9 @@ import pyarrow as pa
 
 from wearcurve.llm.merging import gather
 
-MEMO_UNITS = 700_000
+MEMO_UNITS = 400_000
 #: Bytes of texts worked on together.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
 _STEP = 0x9E3779B97F4A7C15
 
 
