@@ -139,7 +139,8 @@ def findings(docs: DataFrame, labelled: DataFrame | None = None, threshold: floa
     Null and empty texts hold nothing; null ids are scanned like others; repeated rows have the same findings each.
     """
     docs = docs.select("doc_id", "text").filter("text IS NOT NULL")
-    seen = stage(features(candidates(docs), dictionary(docs)), "candidates")
+    found = stage(candidates(docs), "candidates")
+    seen = stage(features(found, dictionary(docs)), "features")
     if labelled is None:
         taught = seen.withColumn("is_secret", seed_labels(seen))
     else:
