@@ -54,20 +54,28 @@ def tokens(text: Column) -> Column:
     return (F.regexp_count(text, F.lit(WORD)) + 4).cast("long")
 
 
-def _running(turns: DataFrame) -> DataFrame:
-    """``turns`` with ``before``, the tokens of the conversation's turns before each, summed in blocks of turns."""
-    block = F.floor(F.col("turn") / BLOCK_TURNS)
-    turns = turns.withColumn("block", F.coalesce(block, F.lit(-(1 << 40))))
-    totals = turns.groupBy("conv_id", "block").agg(F.sum("tokens").alias("total"))
-    earlier = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select(
-        F.col("conv_id").alias("c"), F.col("block").alias("k"), F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("base")
+def _placed(turns: DataFrame) -> DataFrame:
+    """``turns`` with ``before``, the tokens of the conversation's turns before each, their place ``at`` in a block of
+    turns, and ``first``, the turn that opens the conversation, if it is a system turn.
+
+    Texts are moved once, by conversation and block; what a block needs of the others is summed beside them.
+    """
+    key = ["c", "is_null"]
+    system = F.col("role") == "system"
+    opening = F.struct("turn", "role", "text", F.when(system, F.struct("head", "body", "tokens")).alias("system"))
+    blocks = turns.groupBy(*key, "block").agg(F.sum("tokens").alias("total"), F.min(opening).alias("opening"))
+    along = Window.partitionBy(*key).orderBy("block")
+    opened = F.first(F.struct("block", "opening.system")).over(along.rowsBetween(Window.unboundedPreceding, 0))
+    bases = blocks.select(
+        *key,
+        "block",
+        F.coalesce(F.sum("total").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"),
+        opened.alias("first"),
     )
-    within = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "text")
+    within = Window.partitionBy(*key, "block").orderBy("turn", "role", "text")
     own = F.coalesce(F.sum("tokens").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = turns.withColumn("own", own).withColumn("at", F.row_number().over(within))
-    same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("k"))
-    return placed.join(bases, same).withColumn("before", F.col("base") + F.col("own")).drop("c", "k", "base", "own")
+    numbered = turns.withColumn("own", own).withColumn("at", F.row_number().over(within))
+    return numbered.join(bases, [*key, "block"]).withColumn("before", F.col("base") + F.col("own")).drop("base", "own")
 
 
 def windows(turns: DataFrame, *, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
@@ -81,37 +89,34 @@ def windows(turns: DataFrame, *, budget: int = BUDGET, history: int = HISTORY) -
     """
     one = turns.select(
         "conv_id",
+        F.coalesce("conv_id", F.lit(0)).alias("c"),
+        F.col("conv_id").isNull().alias("is_null"),
         F.col("turn").cast("long").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
     head, body = F.concat(F.lit("### "), _title(F.col("role")), F.lit(": ")), escape(F.col("text"))
-    one = one.withColumn("head", head).withColumn("body", body).withColumn("tokens", tokens(body))
-    placed = _running(one).withColumn("lead", F.struct("block", "at"))
-    # A system turn that opens its conversation is repeated in every window.
-    first = placed.groupBy("conv_id").agg(F.min(F.struct("lead", "role", "head", "body", "tokens")).alias("first"))
-    first = first.select(F.col("conv_id").alias("c"), "first.lead", *[F.col(f"first.{x}").alias(f"first_{x}") for x in ("role", "head", "body", "tokens")])
-    system = F.col("first_role") == "system"
-    own = placed.withColumnRenamed("lead", "own_lead").join(first, F.col("conv_id").eqNullSafe(F.col("c"))).withColumn(
-        "is_system", system & (F.col("own_lead") == F.col("lead"))
-    )
-    held = F.when(system, F.col("first_tokens")).otherwise(0)
+    block = F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(1 << 62)))
+    one = one.withColumns({"head": head, "body": body, "tokens": tokens(body), "block": block})
+    system = F.col("first.system")
+    held = F.coalesce(system["tokens"], F.lit(0))
     stretch = F.greatest(F.lit(1), F.floor((budget - history - held) / 2))
-    own = own.withColumn("stretch", stretch).withColumn("window", F.floor(F.col("before") / stretch))
+    opens = system.isNotNull() & (F.col("block") == F.col("first.block")) & (F.col("at") == 1)
+    # A system turn that opens its conversation is repeated in every window.
+    own = _placed(one).withColumns({"is_system": opens, "stretch": stretch})
+    own = own.withColumn("window", F.floor(F.col("before") / F.col("stretch")))
     # A turn is in its own window, and in the next ones that start within the history after it.
     reach = F.floor((F.col("before") + history) / F.col("stretch"))
     seats = F.when(F.col("is_system"), F.array("window")).otherwise(F.sequence("window", F.greatest("window", reach)))
     seated = own.withColumn("seat", F.explode(seats))
     repeated = F.col("seat") > F.col("window")
-    rendered = F.concat("head", "body", F.lit(END))
     learned = (F.col("role") == "assistant") & ~repeated
     part = F.struct(
-        "block", "at", "turn", repeated.alias("repeated"), "is_system", learned.alias("learned"), "head", "body",
-        rendered.alias("rendered"),
-    )
+        "block", "at", repeated.alias("repeated"), "is_system", learned.alias("learned"), "head", "body"
+    )
     grouped = seated.groupBy("conv_id", "seat").agg(
         F.sort_array(F.collect_list(part)).alias("parts"),
-        F.first(F.when(system, F.concat("first_head", "first_body", F.lit(END)))).alias("system"),
+        F.first(F.concat(system["head"], system["body"], F.lit(END))).alias("system"),
     )
     # A window of repeated turns alone has nothing of its own.
     grouped = grouped.filter(F.exists("parts", lambda p: ~p["repeated"]))
@@ -120,7 +125,7 @@ def windows(turns: DataFrame, *, budget: int = BUDGET, history: int = HISTORY) -
         "parts",
         F.struct(F.char_length("lead").alias("at"), F.array().cast("array<struct<begin:int,end:int>>").alias("spans")),
         lambda a, p: F.struct(
-            (a["at"] + F.char_length(p["rendered"])).alias("at"),
+            (a["at"] + F.char_length(p["head"]) + F.char_length(p["body"]) + len(END)).alias("at"),
             F.when(
                 p["learned"],
                 F.concat(
@@ -139,7 +144,7 @@ def windows(turns: DataFrame, *, budget: int = BUDGET, history: int = HISTORY) -
     return laid.select(
         "conv_id",
         F.col("seat").alias("window"),
-        F.concat("lead", F.array_join(F.transform("parts", lambda p: p["rendered"]), "")).alias("text"),
+        F.concat("lead", F.array_join(F.transform("parts", lambda p: F.concat(p["head"], p["body"], F.lit(END))), "")).alias("text"),
         spans.alias("spans"),
         # Turns that are only repeated in this window, the system turn among them.
         (F.size(F.filter("parts", lambda p: p["repeated"])) + (F.col("lead") != "").cast("int")).alias("n_repeated"),
