@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wearcurve.llm import chat, mixing, quality, secret_scan, sentence_pieces, sharding, simhash, token_counts, token_files, vectors
+from wearcurve.llm import chat, mixing, periods, quality, secret_scan, sentence_pieces, sharding, simhash, token_counts, token_files, vectors
 from wearcurve.sources.sinks import shared_dir
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -68,6 +68,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.report(periods.with_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_chat_windows": op2_chat_windows,
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embeddings": op8_embeddings,
     "op9_token_counts": op9_token_counts,
     "op10_secret_scan": op10_secret_scan,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 #: Queries whose result SQL can express.
