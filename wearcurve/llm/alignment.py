@@ -6,7 +6,7 @@ of several bytes, and where a character falls back to bytes, a span says too lit
 plus the decoded bytes since. Byte offsets where tokens of both end part the text into groups.
 
 Texts are cut into units that both tokenizers treat alone: before a single space or line break between characters that
-are surely no white space. Distinct units are aligned once in a task and remembered, up to a limit. Documents are worked
+are surely no white space, and before a point or comma behind a letter. Distinct units are aligned once in a task and remembered, up to a limit. Documents are worked
 on in slices of bounded size, and a slice lists each pair of ids once, so corpus-wide counts cost one row for each pair
 of a slice and not one for each pair of a document.
 """
@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from functools import lru_cache
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +36,13 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: Units a task remembers; units given to a library as one text; rows and bytes of a slice.
 MEMO_UNITS, JOINED, SLICE_ROWS, SLICE_BYTES = 200_000, 4_000, 2_000, 1_500_000
 MARK = "▁"
-#: First bytes of characters that may be white space in some table, and the white space and separators of ASCII.
-_LEADS = (0xC2, 0xE1, 0xE2, 0xE3, 0xEF)
+#: White space and separators of ASCII, and the first bytes of characters that may be white space or a mark in some table.
 _BLANK = np.zeros(256, bool)
 _BLANK[[*range(9, 14), *range(28, 33)]] = True
 _LEAD = np.zeros(256, bool)
-_LEAD[list(_LEADS)] = True
+_LEAD[[0xC2, 0xE1, 0xE2, 0xE3, 0xEF]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
 
 
 class Pair:
@@ -66,6 +69,9 @@ class Pair:
             bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode()
             for i, p in enumerate(map(self.b.id_to_piece, range(self.n_b)))
         ]
+        # A never joins a letter and a point; B does not if no piece of it holds both.
+        self.points = not any(re.search(r"[A-Za-z][.,]", self.b.id_to_piece(i)) for i in range(self.n_b))
+        self.names = list(map(str, range(max(self.n_b, len(self.a_bytes)))))
         self.a_size, self.b_size = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.a_bytes, self.b_bytes))
 
     def of_a(self, text: str, byte_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -78,9 +84,8 @@ class Pair:
     def of_b(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """The same of B, whose text is that of A without its first space and whose spans count bytes."""
         pieces = self.b.encode(text[1:], return_type="proto").pieces
-        ids = np.fromiter((p.id for p in pieces), np.int64, len(pieces))
-        begin = np.fromiter((p.begin for p in pieces), np.int64, len(pieces)) + 1
-        end = np.fromiter((p.end for p in pieces), np.int64, len(pieces)) + 1
+        rows = np.array([(p.id, p.begin, p.end) for p in pieces], np.int64).reshape(-1, 3)
+        ids, begin, end = rows[:, 0], rows[:, 1] + 1, rows[:, 2] + 1
         begin[:1] = 0  # the space that B adds
         return ids, _refined(begin, end, self.b_size[ids])
 
@@ -111,16 +116,21 @@ def _refined(begin: np.ndarray, end: np.ndarray, size: np.ndarray) -> np.ndarray
     return np.where(sure, end, known + total - base)
 
 
-def unit_starts(blob: np.ndarray) -> np.ndarray:
-    """Offsets in a text where a unit starts, apart from its first byte: at a space or line break that stands alone."""
+def unit_starts(blob: np.ndarray, points: bool) -> np.ndarray:
+    """Offsets in a text where a unit starts, apart from its first byte.
+
+    That is at a space or line break that stands alone and, with ``points``, at a point or comma behind a letter.
+    """
     blank = _BLANK[blob]
     may = blank | _LEAD[blob]  # as a next character
     wide = blob >= 0x80
     was = blank.copy()  # as a previous character, by its last byte
     was[1:] |= wide[1:] & (blob[:-1] == 0xC2)
     was[2:] |= wide[2:] & _LEAD[blob[:-2]]
-    at = np.flatnonzero(((blob[1:-1] == 0x20) | (blob[1:-1] == 0x0A)) & ~was[:-2] & ~may[2:])
-    return at + 1
+    starts = ((blob[1:-1] == 0x20) | (blob[1:-1] == 0x0A)) & ~was[:-2] & ~may[2:]
+    if points:
+        starts |= ((blob[1:-1] == 0x2E) | (blob[1:-1] == 0x2C)) & _LETTER[blob[:-2]]
+    return np.flatnonzero(starts) + 1
 
 
 class Aligner:
@@ -140,27 +150,23 @@ class Aligner:
         self.sizes = np.empty((0, 3), np.int64)
         self.links, self.offsets = np.empty(0, np.int64), np.zeros(1, np.int64)
 
-    def learn(self) -> None:
+    def learn(self, odd: np.ndarray) -> None:
+        """Align the units that wait; ``odd`` marks those that may hold white space or marks inside."""
         fresh, self.memo.fresh = self.memo.fresh, []
         if not fresh:
             return
-        texts, sizes, links, counts = [], [], [], []
-        plain = [u[:1] in (b" ", b"\n") and len(u) > 1 and not _odd(u[1:]) for u in fresh]
+        parts = []
+        alone = [i for i in np.flatnonzero(odd).tolist()] + [len(fresh)]
         begin = 0
-        while begin < len(fresh):
-            end = begin + 1
-            if plain[begin]:
-                while end < len(fresh) and plain[end] and end - begin < JOINED:
-                    end += 1
+        for stop in alone:
+            for i in range(begin, stop, JOINED):
                 # A unit of its own in front gives the first one the neighbour it may need.
-                got = self.align([b" x", *fresh[begin:end]], 1)
-            elif fresh[begin][:1] == b"\n":
-                got = self.align([b" x", fresh[begin]], 1)
-            else:
-                got = self.align([fresh[begin]], 0)
-            for into, part in zip((texts, sizes, links, counts), got):
-                into.append(part)
-            begin = end
+                parts.append(self.align([b" x", *fresh[i : min(i + JOINED, stop)]], 1))
+            if stop < len(fresh):
+                first = fresh[stop][:1] == b" "
+                parts.append(self.align([fresh[stop]], 0) if first else self.align([b" x", fresh[stop]], 1))
+            begin = stop + 1
+        texts, sizes, links, counts = zip(*parts)
         self.texts += [t for part in texts for t in part]
         self.sizes = np.concatenate([self.sizes, *sizes])
         self.links = np.concatenate([self.links, *links])
@@ -175,34 +181,36 @@ class Aligner:
             if n > 1:
                 raise ValueError("a tokenizer does not give back text without marks of its own")
             return [None], np.zeros((1, 3), np.int64), np.empty(0, np.int64), np.zeros(1, np.int64)
-        both = np.intersect1d(a_end, b_end)
+        is_end = np.zeros((2, len(raw) + 1), bool)
+        is_end[0, a_end], is_end[1, b_end] = True, True
+        is_both = is_end.all(axis=0)
         bounds = np.cumsum([len(u) for u in units])
-        a_group, b_group = np.searchsorted(both, a_end), np.searchsorted(both, b_end)
-        owner = np.searchsorted(bounds, both) - skip
-        if not np.isin(bounds, both).all():
+        if not is_both[bounds].all():
             raise ValueError("a token reaches over the edge of a unit")
-        in_a, in_b = np.bincount(a_group, minlength=len(both)), np.bincount(b_group, minlength=len(both))
+        # The first token of each side that ends at or after each cut, and one more.
+        both = np.flatnonzero(is_both)
+        a_stop, b_stop = np.searchsorted(a_end, both) + 1, np.searchsorted(b_end, both) + 1
+        in_a, in_b = np.diff(a_stop, prepend=0), np.diff(b_stop, prepend=0)
+        owner = np.searchsorted(bounds, both) - skip
         # Every A token of a group with every B token of it, group after group.
-        first_b = np.cumsum(in_b) - in_b
-        each = np.repeat(np.arange(len(a)), in_b[a_group])
-        inner = np.arange(len(each)) - np.repeat(np.cumsum(in_b[a_group]) - in_b[a_group], in_b[a_group])
-        links = a[each] * self.pair.n_b + b[first_b[a_group[each]] + inner]
-        own = owner[a_group[each]]
-        sizes = np.stack([
-            np.bincount(np.maximum(owner, 0), weights=w * (owner >= 0), minlength=n) for w in (in_a, in_b, np.ones(len(both)))
-        ], axis=1).astype(np.int64)
-        a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        a_stop, b_stop = np.cumsum(in_a).tolist(), np.cumsum(in_b).tolist()
-        groups, i, j = [], 0, 0
-        for p, q in zip(a_stop, b_stop):
-            groups.append(",".join(a_text[i:p]) + "|" + ",".join(b_text[j:q]))
-            i, j = p, q
-        stops = np.searchsorted(owner, np.arange(n), side="right").tolist()
-        k, texts = int(np.searchsorted(owner, 0)), []
-        for stop in stops:
-            texts.append(";".join(groups[k:stop]))
-            k = stop
-        return texts, sizes, links[own >= 0], np.bincount(own[own >= 0], minlength=n)
+        times = np.repeat(in_b, in_a)
+        each = np.repeat(np.arange(len(a)), times)
+        inner = np.arange(len(each)) - np.repeat(np.cumsum(times) - times, times)
+        links = a[each] * self.pair.n_b + b[np.repeat(np.repeat(b_stop - in_b, in_a), times) + inner]
+        n_links = in_a * in_b
+        first = int(np.searchsorted(owner, 0))
+        edge = np.searchsorted(owner, np.arange(n + 1))
+        sums = [np.concatenate(([0], np.cumsum(x))) for x in (in_a, in_b, np.ones(len(both), np.int64), n_links)]
+        sizes = np.stack([x[edge[1:]] - x[edge[:-1]] for x in sums], axis=1)
+        names = self.pair.names
+        a_text, b_text = [names[i] for i in a.tolist()], [names[i] for i in b.tolist()]
+        # Most groups are of one token each.
+        groups = [
+            f"{a_text[p - 1]}|{b_text[q - 1]}" if m == 1 else f"{','.join(a_text[p - i : p])}|{','.join(b_text[q - j : q])}"
+            for p, q, i, j, m in zip(a_stop.tolist(), b_stop.tolist(), in_a.tolist(), in_b.tolist(), n_links.tolist())
+        ]
+        texts = [";".join(groups[i:j]) for i, j in zip(edge[:-1].tolist(), edge[1:].tolist())]
+        return texts, sizes[:, :3], links[int(sums[3][first]) :], sizes[:, 3]
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
         """For each text: tokens of A, of B and groups; its groups as text; all its links, flat, and their numbers.
@@ -216,13 +224,18 @@ class Aligner:
         sizes = np.fromiter((len(t) + 3 for t in texts), np.int64, len(texts))
         stops = np.cumsum(sizes)
         raw = np.frombuffer(blob, np.uint8)
-        starts = np.union1d(unit_starts(raw), stops - sizes) if len(texts) else np.empty(0, np.int64)
+        starts = np.union1d(unit_starts(raw, self.pair.points), stops - sizes) if len(texts) else np.empty(0, np.int64)
         text_of = np.searchsorted(stops, starts, side="right")
         ends = np.minimum(np.append(starts[1:], len(blob)), stops[text_of] - 2)
         first, inverse = distinct(blob, starts, ends)
         heads = [blob[i:j] for i, j in zip(starts[first].tolist(), ends[first].tolist())]
-        numbers = np.fromiter(map(self.memo.__getitem__, heads), np.int64, len(heads))[inverse]
-        self.learn()
+        known = len(self.memo)
+        numbers = np.fromiter(map(self.memo.__getitem__, heads), np.int64, len(heads))
+        unsure = np.concatenate(([0], np.cumsum(_BLANK[raw] | _LEAD[raw])))
+        i, j = starts[first][numbers >= known], ends[first][numbers >= known]
+        lone = (raw[i] != 0x20) & (raw[i] != 0x0A)
+        self.learn((unsure[j] > unsure[np.minimum(i + 1, j)]) | (j - i < 2) | lone)
+        numbers = numbers[inverse]
         bounds = np.searchsorted(text_of, np.arange(len(texts) + 1)).tolist()
         found = list(map(self.texts.__getitem__, numbers.tolist()))
         out = ["" if sizes[i] == 3 or None in (u := found[p:q]) else ";".join(u) for i, (p, q) in enumerate(zip(bounds, bounds[1:]))]
@@ -235,17 +248,6 @@ class Aligner:
         return counts, out, gather(self.links, self.offsets, numbers), np.bincount(text_of, weights=n_links, minlength=len(texts)).astype(np.int64)
 
 
-def _odd(unit: bytes) -> bool:
-    return not unit.isascii() and (MARK in (t := unit.decode()) or not all(map(_sure, t))) or any(c in _ODD for c in unit)
-
-
-_ODD = frozenset(np.flatnonzero(_BLANK).tolist())
-
-
-def _sure(c: str) -> bool:
-    return c.encode()[0] not in _LEADS
-
-
 @lru_cache(1)
 def aligner(a_path: str, b_path: str, limit: int = MEMO_UNITS) -> Aligner:
     return Aligner(Pair(a_path, b_path), limit)
@@ -254,7 +256,7 @@ def aligner(a_path: str, b_path: str, limit: int = MEMO_UNITS) -> Aligner:
 _COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 
 
-def _slices(df: DataFrame, text: str, a_path: str, b_path: str) -> DataFrame:
+def _slices(df: DataFrame, text: str, a_path: str, b_path: str, digest: bool) -> DataFrame:
     """One row for each slice of documents.
 
     ``rows``: the documents' other columns with their counts and groups; ``pairs``: the distinct linked pairs of ids;
@@ -270,6 +272,8 @@ def _slices(df: DataFrame, text: str, a_path: str, b_path: str) -> DataFrame:
 
     def row(number: int, part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
         counts, groups, links, sizes = aligner(a_path, b_path)(texts)
+        if digest:
+            groups = [sha256(g.encode()).hexdigest() if g else "" for g in groups]
         pairs, place = np.unique(links, return_inverse=True)
         owner = np.repeat(np.arange(len(texts)), sizes)
         both, many = np.unique(owner * max(1, len(pairs)) + place, return_counts=True)
@@ -306,7 +310,7 @@ def _slices(df: DataFrame, text: str, a_path: str, b_path: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def align(docs: DataFrame, a_path: str, b_path: str, *, text: str = "text") -> DataFrame:
+def align(docs: DataFrame, a_path: str, b_path: str, *, text: str = "text", digest: bool = False) -> DataFrame:
     """``docs`` without its text, with the alignment of its tokens and how usual its links are in the whole table.
 
     ``n_a``, ``n_b``: tokens of a space and the text by A, and of the text by B, which adds that space. ``n_groups`` and
@@ -317,10 +321,11 @@ def align(docs: DataFrame, a_path: str, b_path: str, *, text: str = "text") -> D
     Null and empty texts, and those that one of the tokenizers does not give back byte by byte, such as texts with the
     mark that B writes for a space, have zeros and the empty text, and link nothing. Special tokens' strings are plain
     text. Each row stands for itself and counts as one document, repeated rows too; null keys stay null, an empty table
-    stays empty, columns named as the outputs are replaced. The slices are written once.
+    stays empty, columns named as the outputs are replaced. The slices are written once. With ``digest`` the column
+    ``groups`` holds the SHA-256 of the groups in their place, which is much less to move.
     """
     docs = without(docs, *_COUNTS, "groups", "n_best", "count_sum")
-    sliced = stage(_slices(docs, text, a_path, b_path), "slices")
+    sliced = stage(_slices(docs, text, a_path, b_path, digest), "slices")
     n_b = aligner(a_path, b_path).pair.n_b
     entries = sliced.select("slice", F.posexplode(F.arrays_zip("pairs", "held")).alias("place", "x"))
     counts = entries.groupBy(F.col("x.pairs").alias("pair")).agg(F.sum("x.held").alias("n"))
@@ -368,8 +373,5 @@ def _sums(owner: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
 
 def report(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """Counts of the alignment and a digest of its groups, for each document."""
-    found = align(docs.select("doc_id", "text"), a_path, b_path)
-    return found.select(
-        "doc_id", *_COUNTS, "n_best", "count_sum",
-        F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256"),
-    )
+    found = align(docs.select("doc_id", "text"), a_path, b_path, digest=True)
+    return found.select("doc_id", *_COUNTS, "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
