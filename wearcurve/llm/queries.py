@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wearcurve.llm import alignment, chat, mixing, periods, quality, secret_scan, sentence_pieces, sharding, simhash, token_counts, token_files, vectors
+from wearcurve.llm import alignment, chat, classifier, mixing, periods, quality, secret_scan, sentence_pieces, sharding, simhash, token_counts, token_files, vectors
 from wearcurve.sources.sinks import shared_dir
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -77,6 +77,10 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.report(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, PIECE_MODEL)
 
 
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_chat_windows": op2_chat_windows,
@@ -90,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secret_scan": op10_secret_scan,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_token_alignment": op12_token_alignment,
+    "op13_quality_classifier": op13_quality_classifier,
 }
 
 #: Queries whose result SQL can express.
