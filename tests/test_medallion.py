@@ -123,3 +123,48 @@ def test_statistics_of_the_training_units_only(spark, layers):
     want = {r["feature"]: r["mean"] for r in fit_metadata(split_rows(cleaned, "train")).collect()}
     assert len(got) == 35 and all(got[c] == want[c] for c in want)
     assert gold.full.count() == cleaned.count()
+
+
+def _log(folder, name, unit, rows=5):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text("".join(f"{unit} {c} " + " ".join(["1.5"] * 24) + "\n" for c in range(1, rows + 1)))
+
+
+@pytest.mark.parametrize("written", [False, True])
+@pytest.mark.parametrize(
+    "given, sizes",
+    [
+        (["train_*.txt"], [5, 3]),
+        (["train_2.txt", "train_1.txt"], [3, 5]),
+        (["odd name %41 [x].txt", "t*_1.txt"], [4, 5]),
+        (["deep"], [13]),
+        (["deep/*"], [6, 7]),
+        (["train_?.txt", "deep/a=1"], [5, 3, 6]),
+        (["nothing here/", "train_1.txt"], [0, 5]),
+    ],
+)
+def test_no_row_is_lost_whatever_names_the_files(spark, tmp_path, given, sizes, written):
+    raw = tmp_path / "raw logs"
+    _log(raw, "train_1.txt", 1)
+    _log(raw, "train_2.txt", 1, 3)
+    _log(raw, "odd name %41 [x].txt", 2, 4)
+    _log(raw / "deep" / "a=1", "part-0.txt", 1, 4)
+    _log(raw / "deep" / "a=1" / "more", "part-1.txt", 3, 2)
+    _log(raw / "deep" / "b", "part-0.txt", 1, 7)
+    _log(raw / "deep" / "b", "_SUCCESS", 9, 7)
+    (raw / "nothing here").mkdir()
+    layers = run(spark, [f"{raw}/{g}" for g in given], str(tmp_path / "out") if written else None)
+    rows = {r["source"]: r["count"] for r in layers["silver"].groupBy("source").count().collect()}
+    assert rows == {i: n for i, n in enumerate(sizes, start=1) if n}
+    assert layers["bronze"].count() == layers["gold"].count() == sum(sizes)
+
+
+def test_paths_without_data_or_given_twice(spark, tmp_path):
+    _log(tmp_path, "a.txt", 1)
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(FileNotFoundError, match="nothing at"):
+        run(spark, [f"{tmp_path}/b*.txt"])
+    with pytest.raises(ValueError, match="given twice"):
+        run(spark, [f"{tmp_path}/a.txt", f"{tmp_path}/*.txt"])
+    with pytest.raises(ValueError, match="no data"):
+        run(spark, [f"{tmp_path}/empty"])

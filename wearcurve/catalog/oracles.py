@@ -88,6 +88,11 @@ def _stats(columns: Sequence[str], source: str, where: str = "") -> str:
     return f"SELECT {fields} FROM {source} {where}"
 
 
+def _scaled_by_subquery(columns: Sequence[str]) -> str:
+    """Scaled columns whose statistics are scalar subqueries of the table ``s``."""
+    return ", ".join(f"(CAST({c} AS DOUBLE) - (SELECT {c}_m FROM s)) / (SELECT {c}_s FROM s) AS {c}" for c in columns)
+
+
 def _scaled(columns: Sequence[str]) -> str:
     return ", ".join(f"(CAST({c} AS DOUBLE) - {c}_m) / {c}_s AS {c}" for c in columns)
 
@@ -281,6 +286,10 @@ FROM range(1, {OOT_UNITS + 1}) AS t(i)""",
     }
     fleet = f"""SELECT filled.* EXCLUDE (unit), 'OOT_' || draw AS unit, {value} AS RUL_pred
 FROM draws JOIN tests USING (pick) JOIN filled ON filled.unit = tests.unit CROSS JOIN fitted"""
+    by_source = _with(
+        """SELECT CAST(source AS INT) AS source, count(*) AS n_rows, count(DISTINCT unit) AS n_units,
+       min(unit + off) AS min_unit, max(unit + off) AS max_unit, count(W32) AS n_w32
+FROM sources JOIN offsets USING (source) GROUP BY source""", "sources", offsets=_offset("count(DISTINCT unit)"))
     named = ", ".join(f"({i}, '{c}')" for i, c in enumerate(["intercept", *FEATURES]))
     return {
         "bronze_parse": panel,
@@ -327,10 +336,8 @@ FROM sources GROUP BY source""", "sources"),
         "integrity_by_layer": _with(
             f"SELECT layer, r.* FROM ({_report('panel')}) r, "
             "(VALUES ('bronze'), ('silver'), ('cleaned'), ('gold')) AS layers(layer)", "panel"),
-        "layers_of_many_files": _with(
-            """SELECT CAST(source AS INT) AS source, count(*) AS n_rows, count(DISTINCT unit) AS n_units,
-       min(unit + off) AS min_unit, max(unit + off) AS max_unit, count(W32) AS n_w32
-FROM sources JOIN offsets USING (source) GROUP BY source""", "sources", offsets=_offset("count(DISTINCT unit)")),
+        "layers_of_many_files": by_source,
+        "layers_of_a_pattern": by_source,
         "raw_stats": _with(
             """SELECT count(*) AS n_rows, count(DISTINCT unit) AS n_units, min(unit) AS min_unit,
        max(unit) AS max_unit FROM panel""", "panel"),
@@ -362,7 +369,7 @@ FROM (SELECT *,
         "events_rul": _with(f"SELECT unit, cycle, {_RUL} FROM e", e=events),
         "feature_metadata": _with(stats, "stats"),
         "zscore": _with(
-            f"SELECT unit, cycle, {_tidy(KEPT, 4)} FROM (SELECT unit, cycle, {_scaled(KEPT)} FROM cleaned CROSS JOIN s)",
+            f"SELECT unit, cycle, {_tidy(KEPT, 4)} FROM (SELECT unit, cycle, {_scaled_by_subquery(KEPT)} FROM cleaned)",
             "cleaned", s=_stats(KEPT, "cleaned")),
         "apply_metadata": _with(
             f"SELECT unit, cycle, {_tidy(KEPT, 4)} FROM (SELECT unit, cycle, {_scaled(KEPT)} FROM cleaned CROSS JOIN s)",

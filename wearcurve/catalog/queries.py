@@ -207,7 +207,17 @@ def integrity_by_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def layers_of_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three raw logs with colliding unit ids through every written layer: what silver makes of each."""
-    layers = run(spark, raw_paths(spark, sf_dir), shared_dir(spark, "layers"))
+    return _by_source(run(spark, raw_paths(spark, sf_dir), shared_dir(spark, "layers")))
+
+
+@query
+def layers_of_a_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same three logs, given as one pattern."""
+    pattern = posixpath.join(posixpath.dirname(raw_paths(spark, sf_dir)[0]), "train_*.txt")
+    return _by_source(run(spark, [pattern]))
+
+
+def _by_source(layers: dict[str, DataFrame]) -> DataFrame:
     return layers["silver"].groupBy("source").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("unit").alias("n_units"),

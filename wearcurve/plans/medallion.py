@@ -20,7 +20,7 @@ from wearcurve.operators.split import assign_split
 from wearcurve.schema import EXPECTED_UNITS, RAW_FIELDS, SEED, feature_columns
 from wearcurve.sources.sinks import base_name, shared_dir, write_csv, write_parquet
 from wearcurve.sources.tables import load
-from wearcurve.sources.text_log import read_raws
+from wearcurve.sources.text_log import datasets, read_raws
 
 METADATA_SCHEMA = T.StructType(
     [
@@ -87,6 +87,13 @@ def build_gold(
     )
 
 
+def _bronze_names(paths: Sequence[str]) -> list[str]:
+    names = [f"bronze_{base_name(p)}" for p in paths]
+    if len(set(names)) < len(names):
+        raise ValueError(f"raw files share a base name: {sorted(names)}")
+    return names
+
+
 def run(
     spark: SparkSession,
     raw_paths: Sequence[str],
@@ -101,15 +108,16 @@ def run(
 ) -> dict[str, DataFrame]:
     """Every layer as a DataFrame, by name. With ``out`` each layer is written and the next reads it.
 
-    All raw files are one scan, one parser and one write, whatever their number; ``source`` numbers them in
-    the order given. Bronze has a folder ``dataset=bronze_<file name>`` for each. Without ``out`` silver is
+    A path is a file or a folder, one dataset each; a pattern stands for all it matches. All raw files are one scan, one
+    parser and one write, whatever their number; ``source`` numbers the datasets in the order given. Bronze has a folder
+    ``dataset=bronze_<file name>`` for each. Without ``out`` silver is
     still written, to the shared folder, so that text is not parsed once for every layer.
     """
     if not raw_paths:
         raise ValueError("no raw file given")
-    names = [f"bronze_{base_name(p)}" for p in raw_paths]
-    if len(set(names)) < len(names):
-        raise ValueError(f"raw files share a base name: {sorted(names)}")
+    _bronze_names(raw_paths)
+    raw_paths = datasets(spark, raw_paths)
+    names = _bronze_names(raw_paths)
     parsed = read_raws(spark, raw_paths)
     bronze = parsed.rows
     listed = spark.createDataFrame(list(zip(names, range(1, len(names) + 1), raw_paths)), "dataset string, source int, path string")

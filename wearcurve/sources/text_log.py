@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearcurve.functions.expressions import nan_to_null
-from wearcurve.operators.positions import bounded
+from wearcurve.operators.positions import MAX_TARGETS, bounded
 from wearcurve.schema import KEYS, RAW_FIELDS
 
 # Ids are read as numbers first, since they may be written as 1.0.
@@ -70,27 +72,76 @@ def read_raw(spark: SparkSession, path: str | list[str], *, pad_short: bool = Tr
 
 
 def read_raws(spark: SparkSession, paths: Sequence[str], *, pad_short: bool = True) -> ParsedLog:
-    """Many files or folders of parts in one scan, with ``source``, the number of a line's path from 1.
+    """Many files or folders of parts in one scan, with ``source``, the number of a line's dataset from 1.
 
-    The plan does not grow with the number of paths.
+    Each path is a dataset, and so is each match of a pattern (see ``datasets``). A folder holds its files at any depth.
+    The plan does not grow with the number of paths. A line whose file is none of those listed is an error, so no line
+    is lost in silence.
     """
-    lines = spark.read.text(list(paths))
+    return _read_files(spark, files_of(spark, datasets(spark, paths)), pad_short)
+
+
+def _read_files(spark: SparkSession, files: list[tuple[str, int]], pad_short: bool = True) -> ParsedLog:
+    # A reader would take signs of a pattern in a file's own name for a pattern.
+    lines = spark.read.text([re.sub(r"([*?\[\]{}\\])", r"\\\1", path) for path, _ in files])
+    listed = spark.createDataFrame([(_place(path), source) for path, source in files], "_file string, source int")
+    if len(files) <= MAX_TARGETS:
+        listed = bounded(listed, len(files))
     place = F.regexp_replace(F.col("_metadata.file_path"), "^([a-z0-9]+):/+", "$1:/")
-    found = lines.select("value", place.alias("_file"), F.regexp_replace(place, "/[^/]*$", "").alias("_folder"))
-    listed = bounded(listing(spark, paths), len(paths))
-    for column in ("_file", "_folder"):
-        own = listed.select(F.col("place").alias(f"{column}_place"), F.col("source").alias(f"{column}_source"))
-        found = found.join(own, F.col(column) == F.col(f"{column}_place"), "left")
-    return parse_lines(found.select("value", F.coalesce("_file_source", "_folder_source").alias("source")), pad_short=pad_short)
+    found = lines.select("value", place.alias("_file")).join(listed, "_file", "left")
+    lost = F.raise_error(F.concat(F.lit("no dataset for lines of "), F.col("_file")))
+    return parse_lines(found.select("value", F.coalesce("source", lost.cast("int")).alias("source")), pad_short=pad_short)
 
 
-def listing(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """``source, path, place``: the caller's paths, numbered from 1, and how a scan names them."""
+def datasets(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The caller's paths in order, each pattern replaced by the files and folders it matches, by name.
 
-    def place(path: str) -> str:
+    A path without a match is an error, and so is one that is given twice. A name that holds signs of a pattern and
+    exists as it stands is no pattern.
+    """
+    found: list[str] = []
+    for path in paths:
         given = spark._jvm.org.apache.hadoop.fs.Path(path)
-        whole = given.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(given)
-        return re.sub("^([a-z0-9]+):/+", r"\1:/", whole.toUri().toString())
-
-    rows = [(i, path, place(path)) for i, path in enumerate(paths, start=1)]
-    return spark.createDataFrame(rows, "source int, path string, place string")
+        system = given.getFileSystem(spark._jsc.hadoopConfiguration())
+        if system.exists(given):
+            matches = [system.makeQualified(given).toString()]
+        else:
+            # Hidden files, such as marks of a finished job, are no data.
+            statuses = [s.getPath() for s in system.globStatus(given) or ()]
+            matches = sorted(s.toString() for s in statuses if s.getName()[0] not in "_.")
+        if not matches:
+            raise FileNotFoundError(f"nothing at {path}")
+        found += matches
+    if len(set(found)) < len(found):
+        raise ValueError(f"raw data given twice: {sorted(p for p in set(found) if found.count(p) > 1)}")
+    return found
+
+
+def files_of(spark: SparkSession, roots: Sequence[str]) -> list[tuple[str, int]]:
+    """Files at or below each of ``roots`` with its number from 1; hidden files and folders are left out.
+
+    A file below two of them belongs to the deeper one. A root without files is skipped with a warning; none left is an
+    error.
+    """
+    owner: dict[str, int] = {}
+    by_depth = sorted(enumerate(roots, start=1), key=lambda x: len(x[1]))
+    for number, root in by_depth:
+        top = spark._jvm.org.apache.hadoop.fs.Path(root)
+        system = top.getFileSystem(spark._jsc.hadoopConfiguration())
+        listing = system.listFiles(top, True)
+        while listing.hasNext():
+            path = listing.next().getPath().toString()
+            if not re.search(r"/[_.]", path[len(root) :]):
+                owner[path] = number
+    for number, root in by_depth:
+        if number not in owner.values():
+            warnings.warn(f"no data in {root}, skipped", stacklevel=3)
+    if not owner:
+        raise ValueError(f"no data in any of {list(roots)}")
+    return sorted(owner.items(), key=lambda x: (x[1], x[0]))
+
+
+def _place(path: str) -> str:
+    """A Hadoop path as a scan names it: an encoded address with one slash behind its scheme."""
+    uri = SparkContext._active_spark_context._jvm.org.apache.hadoop.fs.Path(path).toUri().toString()
+    return re.sub("^([a-z0-9]+):/+", r"\1:/", uri)
