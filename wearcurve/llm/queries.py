@@ -43,8 +43,8 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "shards")
-    sharding.write_shards(table(spark, sf_dir, "documents"), path)
-    return sharding.shard_table(spark, path)
+    written = sharding.write_shards(table(spark, sf_dir, "documents"), path)
+    return sharding.shard_table(spark, path, written)
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wearcurve.llm.work import stage, without
 
@@ -30,12 +31,13 @@ def write_shards(
     bucket_bytes: int = BUCKET_BYTES,
     seed: int = 23,
     text: str = "text",
-) -> None:
+) -> T.StructType:
     """Write ``docs`` under ``path``, one folder ``shard=n`` each, with ``slot``, its rows' gapless places from 0.
 
     A bucket's file holds its records of one shard in the order of their slots. Nulls are hashed like values; rows that
     repeat in every column share a bucket, and columns named ``shard`` or ``slot`` are replaced. The number of buckets
-    follows from the bytes alone. A bucket is one row of one task while it is shuffled.
+    follows from the bytes alone. A bucket is one row of one task while it is shuffled. An empty table leaves an empty
+    folder. Returns the schema of what was written, which reads such a folder too.
     """
     docs = without(docs, "shard", "slot")
     columns = [F.col(f"`{c}`") for c in docs.columns]
@@ -59,15 +61,17 @@ def write_shards(
     position = F.col("offset") + F.col("place")
     out = numbered.select("r.record.*", F.pmod(position, F.lit(shards)).cast("int").alias("shard"), F.floor(position / shards).alias("slot"))
     out.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    return out.schema
 
 
-def read_shards(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_shards(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The written records; without their ``schema`` it is read from the files, of which there must be some."""
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
-def shard_table(spark: SparkSession, path: str) -> DataFrame:
+def shard_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Where each written document lies, read back from the files; ``grown_shard`` is null under this law."""
-    return read_shards(spark, path).select(
+    return read_shards(spark, path, schema).select(
         "doc_id",
         bytes_in().alias("size"),
         F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
