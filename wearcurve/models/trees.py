@@ -8,10 +8,14 @@ no children, feature and threshold.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wearcurve.sources.sinks import shared_dir
+from wearcurve.operators.positions import MAX_TARGETS, bounded
+from wearcurve.sources.sinks import shared_dir, write_parquet
 
 
 def node_table(model, path: str | None = None) -> DataFrame:
@@ -36,3 +40,112 @@ def read_nodes(spark: SparkSession, path: str) -> DataFrame:
         node["prediction"].alias("prediction"),
         node["rawCount"].alias("n_rows"),
     )
+
+
+#: Deepest level MLlib grows.
+MAX_DEPTH = 30
+
+
+def walk(
+    rows: DataFrame,
+    nodes: DataFrame,
+    features: Sequence[str],
+    *,
+    trees: int,
+    depths: Sequence[int] = (MAX_DEPTH,),
+    splits: Sequence[int] = (2,),
+    levels: int = MAX_DEPTH,
+    n_nodes: int | None = None,
+) -> DataFrame:
+    """Each row once for each tree, with what the tree says when it is cut: columns ``tree`` and ``p_<depth>_<split>``.
+
+    Cut at ``depth`` and ``split``, a tree ends at the first node on the row's way that is a leaf, lies at that depth, or
+    has fewer than ``split`` rows. All cuts are read off one way down. All rows go down one level a join: no shuffle of
+    rows where the caller knows the number of nodes and it may be broadcast; without it Spark picks the joins.
+    ``levels`` is the depth of the deepest tree. Features must not be null.
+    """
+    small = n_nodes is not None and n_nodes <= MAX_TARGETS
+    lookup = nodes.select("tree", F.col("node").alias("_node"), "left", "right", "feature", "threshold", "prediction", "n_rows")
+    lookup = bounded(lookup, n_nodes) if small else lookup
+    kept = [F.col(f"`{c}`") for c in rows.columns]
+    state = rows.select(
+        F.struct(*kept).alias("_row"), F.array(*[F.col(c).cast("double") for c in features]).alias("_x"),
+        F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(0).alias("_node"),
+        *[F.lit(None).cast("double").alias(f"_now{s}") for s in splits], *[F.lit(True).alias(f"_on{s}") for s in splits],
+    )
+    told: list[str] = []
+    for level in range(levels + 1):
+        inner = F.col("left").isNotNull()
+        goes = F.when(~inner, F.col("_node")).when(F.get("_x", F.col("feature")) <= F.col("threshold"), F.col("left"))
+        state = state.join(lookup, ["tree", "_node"]).select(
+            "_row", "_x", "tree", goes.otherwise(F.col("right")).alias("_node"), *told,
+            *[F.when(F.col(f"_on{s}"), F.col("prediction")).otherwise(F.col(f"_now{s}")).alias(f"_now{s}") for s in splits],
+            *[(F.col(f"_on{s}") & inner & (F.col("n_rows") >= s)).alias(f"_on{s}") for s in splits],
+        )
+        reached = [d for d in depths if d == level or level == levels and d > level]
+        state = state.select("*", *[F.col(f"_now{s}").alias(f"p_{d}_{s}") for d in reached for s in splits])
+        told += [f"p_{d}_{s}" for d in reached for s in splits]
+    return state.select("_row.*", "tree", *told)
+
+
+def _dead(nodes: DataFrame, split: int) -> DataFrame:
+    """``tree, node`` of all nodes below one that has fewer than ``split`` rows.
+
+    One written table a level, from the children of such nodes down. Rows fall by one at least from a node to its
+    children, so these parts of a tree have fewer than ``split`` levels, and no more than the tree.
+    """
+    spark = nodes.sparkSession
+    children = nodes.filter("left IS NOT NULL").select("tree", "node", "n_rows", F.explode(F.array("left", "right")).alias("child"))
+    children = write_parquet(children, shared_dir(spark, "children"))
+    level = children.filter(F.col("n_rows") < split).select("tree", F.col("child").alias("node"))
+    parts = [write_parquet(level.distinct(), shared_dir(spark, "cut"))]
+    while not parts[-1].isEmpty():
+        level = children.join(parts[-1], ["tree", "node"]).select("tree", F.col("child").alias("node"))
+        # What an upper level has named already is not followed twice.
+        new = level.join(reduce(DataFrame.union, parts), ["tree", "node"], "left_anti")
+        parts.append(write_parquet(new, shared_dir(spark, "cut")))
+    return reduce(DataFrame.union, parts)
+
+
+def cut(nodes: DataFrame, split: int) -> DataFrame:
+    """The trees that a smallest number of rows to split gives: nodes with fewer become leaves."""
+    kept = nodes.join(_dead(nodes, split), ["tree", "node"], "left_anti")
+    leaf = F.col("n_rows") < split
+    inner = ("left", "right", "feature", "threshold")
+    return kept.withColumns({c: F.when(~leaf, F.col(c)) for c in inner}).select(nodes.columns)
+
+
+def cut_model(model, split: int):
+    """A fitted MLlib forest whose nodes with fewer than ``split`` rows are leaves.
+
+    The saved table of nodes is cut and numbered anew, and loaded as a model again.
+    """
+    spark = SparkSession.getActiveSession()
+    whole, path = shared_dir(spark, "forest"), shared_dir(spark, "forest-cut")
+    model.write().overwrite().save(whole)
+    model.write().overwrite().save(path)
+    dead = _dead(read_nodes(spark, whole), split).select(F.col("tree").alias("treeID"), "node")
+    data = spark.read.parquet(f"{whole}/data").withColumn("node", F.col("nodeData.id"))
+    kept = data.join(dead, ["treeID", "node"], "left_anti")
+    # A tree's nodes are numbered from its root down, left before right, and stay in that order.
+    number = (F.row_number().over(Window.partitionBy("treeID").orderBy("node")) - 1).cast("int")
+    numbered = kept.select("treeID", "node", number.alias("id"))
+    old = kept.join(numbered, ["treeID", "node"])
+    for side in ("left", "right"):
+        other = numbered.select("treeID", F.col("node").alias(side), F.col("id").alias(f"{side}_id"))
+        old = old.withColumn(side, F.col(f"nodeData.{side}Child")).join(other, ["treeID", side], "left")
+    n = F.col("nodeData")
+    inner = (n["leftChild"] >= 0) & (n["rawCount"] >= split)
+    none = F.struct(
+        F.lit(-1).alias("featureIndex"), F.array().cast("array<double>").alias("leftCategoriesOrThreshold"), F.lit(-1).alias("numCategories")
+    )
+    node = F.struct(
+        F.col("id").alias("id"), n["prediction"].alias("prediction"), n["impurity"].alias("impurity"),
+        n["impurityStats"].alias("impurityStats"), n["rawCount"].alias("rawCount"),
+        F.when(inner, n["gain"]).otherwise(-1.0).alias("gain"),
+        F.when(inner, F.col("left_id")).otherwise(-1).alias("leftChild"),
+        F.when(inner, F.col("right_id")).otherwise(-1).alias("rightChild"),
+        F.when(inner, n["split"]).otherwise(none).alias("split"),
+    )
+    old.select("treeID", node.alias("nodeData")).write.mode("overwrite").parquet(f"{path}/data")
+    return type(model).load(path)
