@@ -130,6 +130,17 @@ def test_scores_of_a_point_are_those_of_its_own_model(rows):
             assert got[8, split, k] == pytest.approx(error)
 
 
+def test_subsets_of_one_size_share_a_fit(rows, monkeypatch):
+    fits = []
+    grown = forest._grown
+    monkeypatch.setattr(forest, "_grown", lambda *a: fits.append(a[-1]) or grown(*a))
+    points = {"maxDepth": (2,), "featureSubsetStrategy": ("sqrt", "log2"), "minInstancesPerNode": (1,), "minRowsToSplit": (2,), "numTrees": (2,)}
+    got = {(r["featureSubsetStrategy"], r["fold"]): r["rmse"] for r in forest.fold_scores(rows, NAMES, points).collect()}
+    assert len(fits) == 3 and len(got) == 6 and all(got["sqrt", k] == got["log2", k] for k in range(3))
+    own = [forest.fit(rows, NAMES, numTrees=2, maxDepth=2, featureSubsetStrategy=s).stages[-1].toDebugString for s in ("sqrt", "log2")]
+    assert own[0].split("\n")[1:] == own[1].split("\n")[1:]
+
+
 def test_rows_of_a_tree_are_bounded(rows):
     model = forest.fit(rows, NAMES, numTrees=6, maxDepth=30, tree_rows=20).stages[-1]
     sizes = [r["n_rows"] for r in trees.node_table(model).filter("node = 0").collect()]

@@ -415,6 +415,11 @@ FROM filled JOIN splits USING (unit) WHERE split = 'val'""", "filled", "splits")
         "latest_model": record,
         "forest_fit": f"""SELECT {len(FEATURES)} AS n_features, 1.0::DOUBLE AS importance, true AS none_negative,
        100 AS n_trees, 10 AS deepest, true AS beats_mean""",
+        "forest_cuts": _with(
+            """SELECT CAST(tree AS INT) AS tree, depth, min_rows, count(*) AS n_rows, floor(sum(RUL) * 10.0::DOUBLE + 0.5) / 10.0::DOUBLE AS total
+FROM (SELECT RUL FROM filled JOIN splits USING (unit) WHERE split = 'train'),
+     range(4) AS trees(tree), (VALUES (0), (3), (8)) AS depths(depth), (VALUES (2), (500)) AS splits_(min_rows)
+GROUP BY tree, depth, min_rows""", "filled", "splits"),
         "predict": predicted,
         "load_model": predicted,
         "oot_predictions": _with(

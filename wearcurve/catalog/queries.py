@@ -20,6 +20,7 @@ from wearcurve.catalog.panels import (
 )
 from wearcurve.catalog.staging import (
     FOREST_POINT,
+    GRID_TREE_ROWS,
     TRIAL_DATE,
     cleaned_table,
     gold_table,
@@ -31,6 +32,7 @@ from wearcurve.catalog.staging import (
     tuned,
 )
 from wearcurve.models import forest, registry, ridge
+from wearcurve.models.trees import node_table, walk
 from wearcurve.operators import conform, features, normalize, quality, split, stores
 from wearcurve.operators.metrics import evaluate, select_model, stack_predictions
 from wearcurve.operators.ordered import over_units
@@ -482,6 +484,33 @@ def forest_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def forest_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training rows sent down saved nodes. Without resampling a leaf says the mean of its rows, so at every cut of every
+    tree the predictions of all rows add up to their labels."""
+    ready = prepared(spark, sf_dir)
+    depths, splits, n = (0, 3, 8), (2, 500), 4
+    model = forest.fit(ready.train, ready.features, maxDepth=8, numTrees=n, featureSubsetStrategy="sqrt", bootstrap=False)
+    fitted = model.stages[-1]
+    said = walk(
+        ready.train.select(LABEL, *ready.features), node_table(fitted), ready.features, trees=n, depths=depths,
+        splits=splits, levels=max(t.depth for t in fitted.trees), n_nodes=fitted.totalNumNodes,
+    )
+    stacked = F.array(*[
+        F.struct(F.lit(d).alias("depth"), F.lit(s).alias("min_rows"), F.col(f"p_{d}_{s}").alias("p")) for d in depths for s in splits
+    ])
+    each = said.select("tree", F.inline(stacked))
+    totals = each.groupBy("tree", "depth", "min_rows").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("p").alias("total"))
+    return totals.withColumn("total", rounded(F.col("total"), 1))
+
+
+@query
+def forest_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean error of all 48 points of the forest's grid; every tree is grown on a sample of about ``GRID_TREE_ROWS``."""
+    ready = prepared(spark, sf_dir)
+    return forest.search(ready.train, ready.features, tree_rows=GRID_TREE_ROWS).results
+
+
 @query
 def grid_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean score of every penalty, best first."""

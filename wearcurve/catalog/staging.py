@@ -17,8 +17,10 @@ from wearcurve.plans.training import Prepared, Trained, prepare, train
 from wearcurve.schema import feature_columns
 from wearcurve.sources.sinks import shared_dir
 
-# The first point of the library's grid. All 24 take hours on one machine.
+# The first point of the library's grid, for the queries of a whole training run.
 FOREST_POINT = {name: values[:1] for name, values in FOREST_GRID.items()}
+# Rows of a tree's sample in the query of the whole grid; trees of whole folds take hours on one machine.
+GRID_TREE_ROWS = 64
 TRIAL_DATE = datetime(2025, 1, 1)
 
 _made: dict[tuple, Any] = {}
