@@ -1,5 +1,7 @@
 import math
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from tests.panels import rows_of, small
@@ -69,3 +71,30 @@ def test_quality_reports(spark):
     assert rows_of(quality.duplicate_keys(df), "unit") == [(1, 1, 2)]
     layers = quality.integrity_by_layer({"a": df, "b": df.filter("unit = 4")}, 2)
     assert rows_of(layers, "layer") == [("a", 3, 2, False), ("b", 1, 1, True)]
+
+
+def test_correlations_of_pairs_with_gaps(spark):
+    from wearcurve.operators.conform import constant_columns, correlated_pairs, redundant_columns
+
+    rng = np.random.default_rng(1)
+    a = rng.normal(size=400)
+    table = pd.DataFrame({
+        "a": 2388 + a / 1000, "b": rng.normal(size=400), "c": 5 - 3 * a, "fixed": 7.0, "none": np.nan, "once": np.nan,
+    })
+    table.loc[::7, "b"] = np.nan
+    table.loc[::5, "c"] = np.nan
+    table.loc[3, "once"] = 1.0
+    clean = table.astype(object).where(table.notna(), None)
+    df = spark.createDataFrame([tuple(r) for r in clean.itertuples(index=False)], ", ".join(f"{c} double" for c in table))
+    found = {(r["a"], r["b"]): r for r in correlated_pairs(df, list(table)).collect()}
+    for (x, y), r in found.items():
+        both = table[[x, y]].dropna()
+        assert r["n"] == len(both)
+        want = both[x].corr(both[y]) if both[x].nunique() > 1 and both[y].nunique() > 1 else None
+        assert r["r"] == (None if want is None else pytest.approx(want, abs=1e-9))
+    read = [c for c in table if c != "none"]
+    assert set(found) == {(x, y) for i, x in enumerate(read) for y in read[i + 1 :]}
+    pairs = correlated_pairs(df, list(table))
+    assert redundant_columns(pairs, ["a", "b", "c"]) == ["c"] and redundant_columns(pairs, ["c", "b", "a"]) == ["a"]
+    told = {r["feature"]: (r["n"], r["is_constant"]) for r in constant_columns(df, list(table)).collect()}
+    assert told == {"a": (400, False), "b": (342, False), "c": (320, False), "fixed": (400, True), "none": (0, True), "once": (1, True)}

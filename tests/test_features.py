@@ -150,3 +150,25 @@ def test_number_rows_of_hot_keys(spark):
     for hot in (0, 120, 10_000):
         got = number_rows(df, "k", ("day", "id"), F.col("day"), hot_rows=hot).toPandas().set_index("id")["cycle"]
         assert got.sort_index().tolist() == want.sort_index().tolist()
+
+
+def test_tied_cycles_agree_in_plain_and_hot_plans(spark):
+    """Rows that share a cycle: both plans order them alike, however the rows lie."""
+    from pyspark.sql import functions as F
+
+    from wearcurve.operators.ordered import over_units
+
+    rng = np.random.default_rng(2)
+    rows = [(int(u), int(c), float(np.float32(s))) for u, c, s in zip(rng.integers(1, 4, 600), rng.integers(1, 60, 600), rng.normal(size=600))]
+    rows += rows[:20]
+    build = lambda w: {"mean": F.avg("s").over(w.rowsBetween(-4, 0)), "step": F.col("s") - F.lag("s").over(w)}
+
+    def made(rows, parts, **blocks):
+        df = small(spark, rows).repartition(parts)
+        out = over_units(df, build, columns=("s",), depth=4, last="last", ties=True, **blocks)
+        assert out.columns == ["unit", "cycle", "s", "mean", "step", "last"]
+        return sorted(map(str, out.collect()))
+
+    plain = made(rows, 3)
+    assert len(plain) == 620
+    assert plain == made(rows[::-1], 5) == made(rows, 2, hot_rows=10, block_bits=2) == made(rows[::-1], 4, hot_rows=150, block_bits=0)

@@ -168,3 +168,22 @@ def test_paths_without_data_or_given_twice(spark, tmp_path):
         run(spark, [f"{tmp_path}/a.txt", f"{tmp_path}/*.txt"])
     with pytest.raises(ValueError, match="no data"):
         run(spark, [f"{tmp_path}/empty"])
+
+
+def test_co_located_stores_join_without_an_exchange(spark, layers):
+    from wearcurve.operators.stores import feature_store, label_store, write_co_located
+
+    gold = layers[0]["gold"]
+    features, labels = write_co_located(gold, 4)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join_stores(features, labels)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        apart = join_stores(feature_store(gold), label_store(gold))
+        assert "Exchange" in apart._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    columns = sorted(joined.columns)
+    assert rows_of(joined.select(columns), "unit", "cycle") == rows_of(apart.select(columns), "unit", "cycle")

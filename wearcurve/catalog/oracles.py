@@ -286,6 +286,7 @@ FROM range(1, {OOT_UNITS + 1}) AS t(i)""",
     }
     fleet = f"""SELECT filled.* EXCLUDE (unit), 'OOT_' || draw AS unit, {value} AS RUL_pred
 FROM draws JOIN tests USING (pick) JOIN filled ON filled.unit = tests.unit CROSS JOIN fitted"""
+    varying = [c for c in SENSORS if c not in (*CONSTANT_SENSORS, "op_setting_3")]
     by_source = _with(
         """SELECT CAST(source AS INT) AS source, count(*) AS n_rows, count(DISTINCT unit) AS n_units,
        min(unit + off) AS min_unit, max(unit + off) AS max_unit, count(W32) AS n_w32
@@ -317,6 +318,20 @@ FROM panel, (VALUES ('parquet'), ('csv'), ('dataframe')) AS kinds(kind) GROUP BY
             f"SELECT unit, cycle, {_tidy([c for c in SENSORS if c not in CONSTANT_SENSORS])} FROM silver", "silver"),
         "drop_correlated": _with(
             f"SELECT unit, cycle, {_tidy([c for c in SENSORS if c not in CORRELATED_SENSORS])} FROM silver", "silver"),
+        "constant_columns": _with(
+            " UNION ALL ".join(
+                f"SELECT '{c}' AS feature, count({c}) AS n, coalesce(min({c}) = max({c}), true) AS is_constant FROM silver" for c in SENSORS
+            ), "silver"),
+        "correlated_pairs": _with(
+            " UNION ALL ".join(
+                f"""SELECT '{a}' AS a, '{b}' AS b, count(*) AS n, {_rounded(f"corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))", 6)} AS r
+FROM silver WHERE {a} IS NOT NULL AND {b} IS NOT NULL"""
+                for i, a in enumerate(varying) for b in varying[i + 1 :]
+            ), "silver"),
+        "co_located_join": gold,
+        "delta1_with_ties": _with(
+            """SELECT unit, CAST(cycle // 3 AS INT) AS cycle, count(*) AS n_rows, count(*) - max(CASE WHEN cycle = 1 THEN 1 ELSE 0 END) AS n_deltas
+FROM cleaned GROUP BY 1, 2""", "cleaned"),
         "silver_union": _with(
             f"SELECT CAST(source AS INT) AS source, unit, cycle, {_tidy(SENSORS)} FROM sources", "sources"),
         "unit_offset": _with(

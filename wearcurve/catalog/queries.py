@@ -39,7 +39,7 @@ from wearcurve.operators.ordered import over_units
 from wearcurve.plans.medallion import build_gold, clean, run
 from wearcurve.plans.scoring import score_fleet
 from wearcurve.plans.training import compare, predict
-from wearcurve.schema import BRONZE_SCHEMA, KEYS, LABEL, TREND_SENSORS, feature_columns, require_columns
+from wearcurve.schema import BRONZE_SCHEMA, CONSTANT_SENSORS, KEYS, LABEL, RAW_FIELDS, TREND_SENSORS, feature_columns, require_columns
 from wearcurve.sources.sinks import shared_dir, write_bronze, write_csv, write_parquet
 from wearcurve.sources.tables import load, read_csv, read_many
 from wearcurve.sources.text_log import parse_lines, read_raw
@@ -166,6 +166,18 @@ def drop_correlated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(conform.drop_correlated(silver_panel(spark, sf_dir)))
 
 
+@query
+def constant_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conform.constant_columns(silver_panel(spark, sf_dir), RAW_FIELDS[2:])
+
+
+@query
+def correlated_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of sensors that vary, repeated ones included."""
+    varying = [c for c in RAW_FIELDS[2:] if c not in (*CONSTANT_SENSORS, "op_setting_3")]
+    return tidy(conform.correlated_pairs(silver_panel(spark, sf_dir), varying), SUMMED)
+
+
 @query
 def silver_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(conform.union_sources(panel_sources(spark, sf_dir)))
@@ -284,6 +296,16 @@ def delta1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(features.add_delta(panel).drop(*TREND_SENSORS))
 
 
+@query
+def delta1_with_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Differences where three rows share each cycle, every unit cut into blocks: all rows but a unit's first have one."""
+    panel = cleaned_table(spark, sf_dir).select("unit", F.floor(F.col("cycle") / 3).cast("int").alias("cycle"), "Nc")
+    rows = over_units(
+        panel, lambda w: {"delta": F.col("Nc") - F.lag("Nc").over(w)}, columns=("Nc",), depth=1, ties=True, hot_rows=100, block_bits=4
+    )
+    return rows.groupBy("unit", "cycle").agg(F.count(F.lit(1)).alias("n_rows"), F.count("delta").alias("n_deltas"))
+
+
 @query
 def ratio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     panel = cleaned_table(spark, sf_dir)
@@ -370,6 +392,13 @@ def feature_label_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(stores.join_stores(stores.feature_store(gold), stores.label_store(gold)), SCALED)
 
 
+@query
+def co_located_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both stores in the same buckets of the row key; their join has no exchange."""
+    features_, labels = stores.write_co_located(gold_table(spark, sf_dir), 8)
+    return tidy(stores.join_stores(features_, labels), SCALED)
+
+
 # Split, folds, bootstrap
 
 

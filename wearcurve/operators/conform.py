@@ -40,6 +40,53 @@ def drop_correlated(df: DataFrame, columns: Sequence[str] = CORRELATED_SENSORS)
     return df.drop(*columns)
 
 
+def constant_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``feature, n, is_constant``: readings of each column, and whether these are all the same; one pass.
+
+    A column without readings is constant.
+    """
+    stacked = df.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in columns])).alias("at", "x"))
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("at") + 1)
+    same = F.coalesce(F.min("x") == F.max("x"), F.lit(True))
+    return stacked.groupBy("at").agg(F.count("x").alias("n"), same.alias("is_constant")).select(name.alias("feature"), "n", "is_constant")
+
+
+def correlated_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``a, b, n, r``: correlation of each pair of columns, ``a`` before ``b``, over the ``n`` rows that have both.
+
+    One pass: each task merges its rows to one row a pair, whose running moments stay centred, so that a small deviation
+    beside a large mean is no trouble. Without two different readings on both sides ``r`` is null.
+    """
+    pairs = [
+        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+        for i, a in enumerate(columns) for j, b in enumerate(columns) if i < j
+    ]
+    both = df.select(F.inline(F.array(*pairs))).filter("x IS NOT NULL AND y IS NOT NULL")
+    names = F.array(*[F.lit(c) for c in columns])
+    found = both.groupBy("i", "j").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("r"),
+        (F.min("x") < F.max("x")).alias("x_varies"), (F.min("y") < F.max("y")).alias("y_varies"),
+    )
+    return found.select(
+        F.element_at(names, F.col("i") + 1).alias("a"), F.element_at(names, F.col("j") + 1).alias("b"), "n",
+        F.when(F.col("x_varies") & F.col("y_varies"), F.col("r")).alias("r"),
+    )
+
+
+def redundant_columns(pairs: DataFrame, columns: Sequence[str], threshold: float = 0.95) -> list[str]:
+    """Columns that an earlier kept one repeats: ``|r|`` at the threshold or above, decided in the order of ``columns``.
+
+    ``pairs`` are those of ``correlated_pairs``: one row a pair of columns.
+    """
+    near = {(r["a"], r["b"]) for r in pairs.filter(F.abs("r") >= threshold).collect()}
+    kept: list[str] = []
+    for c in columns:
+        if not any((k, c) in near or (c, k) in near for k in kept):
+            kept.append(c)
+    return [c for c in columns if c not in kept]
+
+
 def union_sources(sources: Sequence[DataFrame]) -> DataFrame:
     """Union by column name with a ``source`` number from 1; a column absent on one side is null."""
     if not sources:

@@ -38,18 +38,18 @@ def _blocks(df: DataFrame, hot: DataFrame, unit: str, cycle: str, block_bits: in
     return df.join(hot, unit, how).withColumn("_block", block.cast("int"))
 
 
-def _lead_in(hot_rows: DataFrame, unit: str, cycle: str, columns: Sequence[str], depth: int) -> DataFrame:
+def _lead_in(hot_rows: DataFrame, unit: str, order: Sequence[str], columns: Sequence[str], depth: int) -> DataFrame:
     """For each block of a hot unit, the ``depth`` rows that precede it, wherever they are."""
     group = (unit, "_block", "_hot_last")
-    within = Window.partitionBy(unit, "_block").orderBy(cycle)
+    within = Window.partitionBy(unit, "_block").orderBy(*order)
     # Each block contributes at most `depth` rows, and at least one, so the last `depth` rows before a
     # block are found in the `depth` blocks that precede it.
     endings = (
-        hot_rows.select(*group, cycle, *columns)
-        .withColumn("_later", F.lead(cycle, depth).over(within))
+        hot_rows.select(*group, *order, *columns)
+        .withColumn("_later", F.lead(order[0], depth).over(within))
         .filter(F.col("_later").isNull())
         .groupBy(*group)
-        .agg(F.sort_array(F.collect_list(F.struct(cycle, *columns))).alias("_ending"))
+        .agg(F.sort_array(F.collect_list(F.struct(*order, *columns))).alias("_ending"))
     )
     before = Window.partitionBy(unit).orderBy("_block").rowsBetween(-depth, -1)
     start = F.greatest(F.size("_earlier") - depth + 1, F.lit(1))
@@ -71,15 +71,20 @@ def over_units(
     cycle: str = "cycle",
     hot_rows: int = HOT_ROWS,
     block_bits: int = BLOCK_BITS,
+    ties: bool = False,
 ) -> DataFrame:
     """Add window columns to every row, all behind one shuffle and one sort.
 
     ``windows(ordered)`` names the new columns over the window ordered by ``cycle``; their frames may
     reach back ``depth`` rows over ``columns``. ``last`` names a column for the unit's last cycle.
-    (``unit``, ``cycle``) must be unique.
+    (``unit``, ``cycle``) must be unique, or ``ties`` set: rows of one cycle are then ordered by a digest of all
+    their columns, the same in every plan and on every run. Rows that agree in all columns are interchangeable.
     """
     if windows is None:
         return _with_last(df, last, unit, cycle) if last else df
+    order = (cycle, "_tie") if ties else (cycle,)
+    if ties:
+        df = df.withColumn("_tie", F.xxhash64(*[F.col(c) for c in sorted(df.columns)]))
     hot = hot_units(df, unit, [F.max(cycle).alias("_hot_last")], hot_rows)
     if hot is None:
         rows, group = df, (unit,)
@@ -88,17 +93,17 @@ def over_units(
         rows = _blocks(df, hot, unit, cycle, block_bits, "left")
         if depth:
             hot_only = _blocks(df, hot, unit, cycle, block_bits, "inner")
-            lead_in = _lead_in(hot_only, unit, cycle, columns, depth).withColumn("_copy", F.lit(True))
+            lead_in = _lead_in(hot_only, unit, order, columns, depth).withColumn("_copy", F.lit(True))
             rows = rows.withColumn("_copy", F.lit(False)).unionByName(lead_in, allowMissingColumns=True)
         # A join on the unit alone must not leave a hot unit's blocks together.
         rows = rows.repartition(*group)
-    ordered = Window.partitionBy(*group).orderBy(cycle)
+    ordered = Window.partitionBy(*group).orderBy(*order)
     added = dict(windows(ordered))
     if last:
         # Same order spec as the other columns, so that no second sort is planned for the maximum.
         whole = F.max(cycle).over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
         added[last] = whole if hot is None else F.coalesce("_hot_last", whole)
-    rows = rows.select("*", *[c.alias(name) for name, c in added.items()])
+    rows = rows.select("*", *[c.alias(name) for name, c in added.items()]).drop("_tie")
     if hot is None:
         return rows
     if depth:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from wearcurve.schema import KEYS, LABEL, require_columns
+from wearcurve.sources.sinks import shared_dir
 
 
 def feature_store(gold: DataFrame) -> DataFrame:
@@ -20,3 +23,23 @@ def join_stores(features: DataFrame, labels: DataFrame) -> DataFrame:
     require_columns(features, KEYS, "feature store")
     require_columns(labels, KEYS, "label store")
     return features.join(labels, list(KEYS), "inner")
+
+
+def write_co_located(gold: DataFrame, buckets: int, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Feature store and label store as tables with the same buckets of the row key, sorted by it.
+
+    ``join_stores`` of the two moves and sorts nothing: each bucket meets its counterpart where it is read. A bucket is
+    one task of that join, so ``buckets`` is chosen for the size of the table. A row's bucket follows from unit and cycle,
+    so a long unit spreads over all of them. The rows are dealt once for each store, so a bucket is one file.
+    The tables go to ``path`` or the shared folder, under fresh names in the session's catalog.
+    """
+    spark = gold.sparkSession
+    path = path or shared_dir(spark, "stores")
+    found = []
+    for name, store in (("feature_store", feature_store(gold)), ("label_store", label_store(gold))):
+        table = f"{name}_{uuid.uuid4().hex}"
+        dealt = store.repartition(buckets, *KEYS)
+        writer = dealt.write.bucketBy(buckets, *KEYS).sortBy(*KEYS).option("path", f"{path}/{name}")
+        writer.format("parquet").saveAsTable(table)
+        found.append(spark.table(table))
+    return found[0], found[1]
