@@ -348,6 +348,9 @@ FROM (SELECT source, unit, cycle, {_floats(SENSORS)} FROM sources) JOIN offsets
             """SELECT CAST(source AS INT) AS source, count(*) AS n_rows, count(DISTINCT unit) AS n_units
 FROM sources GROUP BY source""", "sources"),
         "integrity": _with(_report("cleaned"), "cleaned"),
+        "unit_summary": _with(
+            """SELECT unit, CAST(floor(cycle / 65536.0) AS INT) AS block, count(*) AS n_rows,
+       min(cycle) AS first_cycle, max(cycle) AS last_cycle FROM cleaned GROUP BY 1, 2""", "cleaned"),
         "integrity_by_layer": _with(
             f"SELECT layer, r.* FROM ({_report('panel')}) r, "
             "(VALUES ('bronze'), ('silver'), ('cleaned'), ('gold')) AS layers(layer)", "panel"),

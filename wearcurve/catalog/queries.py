@@ -22,6 +22,7 @@ from wearcurve.catalog.staging import (
     FOREST_POINT,
     GRID_TREE_ROWS,
     TRIAL_DATE,
+    cleaned_summary,
     cleaned_table,
     gold_table,
     once,
@@ -36,6 +37,7 @@ from wearcurve.models.trees import node_table, walk
 from wearcurve.operators import conform, features, normalize, quality, split, stores
 from wearcurve.operators.metrics import evaluate, select_model, stack_predictions
 from wearcurve.operators.ordered import over_units
+from wearcurve.operators.summary import ROWS, merge_summaries, unit_summary
 from wearcurve.plans.medallion import build_gold, clean, run
 from wearcurve.plans.scoring import score_fleet
 from wearcurve.plans.training import compare, predict
@@ -201,7 +203,10 @@ def shared_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def source_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.source_stats(conform.union_sources(panel_sources(spark, sf_dir)))
+    """From one summary a source, merged: the panel is read once."""
+    panels = enumerate(panel_sources(spark, sf_dir), start=1)
+    parts = [unit_summary(df.withColumn("source", F.lit(i)), by=("source",)) for i, df in panels]
+    return quality.source_stats(merge_summaries(parts, by=("source",)), rows=ROWS)
 
 
 # Quality
@@ -209,7 +214,12 @@ def source_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.integrity(cleaned_table(spark, sf_dir))
+    return quality.integrity(cleaned_summary(spark, sf_dir), rows=ROWS)
+
+
+@query
+def unit_summary_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unit_summary(cleaned_table(spark, sf_dir))
 
 
 @query
@@ -271,7 +281,8 @@ def rul_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rul_via_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.rul_via_join(cleaned_table(spark, sf_dir)).select(*KEYS, LABEL)
+    panel = cleaned_table(spark, sf_dir)
+    return features.rul_via_join(panel, summary=cleaned_summary(spark, sf_dir)).select(*KEYS, LABEL)
 
 
 def _rolled(df: DataFrame, **blocks) -> DataFrame:
@@ -404,22 +415,25 @@ def co_located_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def group_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.unit_split(cleaned_table(spark, sf_dir))
+    return split.unit_split(cleaned_summary(spark, sf_dir))
 
 
 @query
 def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.split_rows(cleaned_table(spark, sf_dir), "test").select(*KEYS, "split")
+    panel, summary = cleaned_table(spark, sf_dir), cleaned_summary(spark, sf_dir)
+    return split.split_rows(panel, "test", summary=summary).select(*KEYS, "split")
 
 
 @query
 def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.split_sizes(split.assign_split(cleaned_table(spark, sf_dir)))
+    """From the summary alone."""
+    return split.split_sizes(split.assign_split(cleaned_summary(spark, sf_dir)), rows=ROWS)
 
 
 @query
 def cv_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.assign_folds(cleaned_table(spark, sf_dir)).select(*KEYS, "fold")
+    panel = cleaned_table(spark, sf_dir)
+    return split.assign_folds(panel, summary=cleaned_summary(spark, sf_dir)).select(*KEYS, "fold")
 
 
 @query

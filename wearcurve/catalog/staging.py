@@ -12,6 +12,7 @@ from wearcurve.catalog.panels import panel_lines, silver_panel, source_lines
 from wearcurve.models.forest import FOREST_GRID
 from wearcurve.models.ridge import RidgeSearch, search
 from wearcurve.operators.normalize import fill_missing
+from wearcurve.operators.summary import unit_summary
 from wearcurve.plans.medallion import build_gold, clean
 from wearcurve.plans.training import Prepared, Trained, prepare, train
 from wearcurve.schema import feature_columns
@@ -48,6 +49,10 @@ def cleaned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged(spark, sf_dir, "cleaned", lambda: clean(silver_panel(spark, sf_dir)))
 
 
+def cleaned_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staged(spark, sf_dir, "cleaned_summary", lambda: unit_summary(cleaned_table(spark, sf_dir)))
+
+
 def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged(spark, sf_dir, "gold", lambda: build_gold(spark, cleaned_table(spark, sf_dir)).full)
 

@@ -109,14 +109,16 @@ def source_offsets(df: DataFrame, *, unit: str = "unit", offset_by: str = "count
 
 
 def shift_units(
-    df: DataFrame, *, unit: str = "unit", offset_by: str = "count", n_sources: int | None = None
+    df: DataFrame, *, unit: str = "unit", offset_by: str = "count", n_sources: int | None = None,
+    offsets: DataFrame | None = None,
 ) -> DataFrame:
     """Shift unit ids so that datasets do not share them.
 
     With ``n_sources``, the length of the caller's list, the offsets are broadcast once that length is
-    checked; otherwise Spark picks the join.
+    checked; otherwise Spark picks the join. ``offsets`` found elsewhere, as in a summary, spare a scan of ``df``.
     """
-    offsets = source_offsets(df, unit=unit, offset_by=offset_by)
+    if offsets is None:
+        offsets = source_offsets(df, unit=unit, offset_by=offset_by)
     if n_sources is not None:
         offsets = bounded(offsets, n_sources)
     shifted = (F.col(unit) + F.col("offset")).cast("int")

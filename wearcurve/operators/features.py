@@ -16,9 +16,15 @@ def last_cycles(df: DataFrame, *, unit: str = "unit", cycle: str = "cycle") -> D
     return df.groupBy(unit).agg(F.max(cycle).alias("max_cycle"))
 
 
-def rul_via_join(df: DataFrame, *, unit: str = "unit", cycle: str = "cycle") -> DataFrame:
-    """Label by joining each unit's last cycle back; the size of the unit table picks the join."""
-    joined = df.join(last_cycles(df, unit=unit, cycle=cycle), unit, "left")
+def rul_via_join(
+    df: DataFrame, *, unit: str = "unit", cycle: str = "cycle", summary: DataFrame | None = None
+) -> DataFrame:
+    """Label by joining each unit's last cycle back; the size of the unit table picks the join.
+
+    With the ``summary`` of ``df`` last cycles come from there and ``df`` is read once.
+    """
+    last = last_cycles(df, unit=unit, cycle=cycle) if summary is None else last_cycles(summary, unit=unit, cycle="last_cycle")
+    joined = df.join(last, unit, "left")
     return joined.withColumn(LABEL, F.col("max_cycle") - F.col(cycle)).drop("max_cycle")
 
 

@@ -46,9 +46,13 @@ def assign_split(
     unit: str = "unit",
     seed: int = SEED,
     shares: tuple[float, float] = (TRAIN_SHARE, VAL_SHARE),
+    summary: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``split``: train, val or test. All rows of a unit fall on the same side."""
-    units, counts = _ordered_units(df, unit, seed)
+    """Add ``split``: train, val or test. All rows of a unit fall on the same side.
+
+    With the ``summary`` of ``df`` the cut points are found there, and ``df`` is read only by what uses the result.
+    """
+    units, counts = _ordered_units(df if summary is None else summary, unit, seed)
     n = F.col("n")
     targets = counts.agg(F.sum("_n").alias("n")).select(
         F.inline(
@@ -87,21 +91,31 @@ def split_rows(df: DataFrame, split: str, **options) -> DataFrame:
     return assigned.filter(F.col("split") == split)
 
 
-def split_sizes(df: DataFrame, *, unit: str = "unit") -> DataFrame:
-    return df.groupBy("split").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct(unit).alias("n_units")
-    )
+def split_sizes(df: DataFrame, *, unit: str = "unit", rows: str | None = None) -> DataFrame:
+    """Rows and units of each split of a panel, or of its summary, where ``rows`` counts the rows behind each row."""
+    n_rows = F.sum(rows) if rows else F.count(F.lit(1))
+    return df.groupBy("split").agg(n_rows.alias("n_rows"), F.count_distinct(unit).alias("n_units"))
 
 
-def assign_folds(df: DataFrame, k: int = 3, *, unit: str = "unit", cycle: str = "cycle") -> DataFrame:
-    """Add ``fold`` 0..k-1: contiguous in (unit, cycle) order, the first ``n mod k`` one row longer."""
+def assign_folds(
+    df: DataFrame, k: int = 3, *, unit: str = "unit", cycle: str = "cycle", summary: DataFrame | None = None
+) -> DataFrame:
+    """Add ``fold`` 0..k-1: contiguous in (unit, cycle) order, the first ``n mod k`` one row longer.
+
+    Rows are counted in the ``summary`` of ``df`` where it is given; then only the blocks that hold a cut are sought
+    in ``df`` itself.
+    """
     keyed = df.select(
         unit,
         cycle,
         F.shiftright(unit, DIGIT_BITS).alias("_unit_lead"),
         F.shiftright(cycle, DIGIT_BITS).alias("_cycle_lead"),
     )
-    counts = _counted(keyed.groupBy("_unit_lead", unit, "_cycle_lead"))
+    if summary is None:
+        counts = _counted(keyed.groupBy("_unit_lead", unit, "_cycle_lead"))
+    else:
+        lead = F.shiftright(unit, DIGIT_BITS).alias("_unit_lead")
+        counts = summary.select(lead, unit, F.col("block").alias("_cycle_lead"), F.col("n_rows").alias("_n"))
     i, n = F.col("target"), F.col("n")
     targets = counts.agg(F.sum("_n").alias("n")).select(
         n, F.explode(F.sequence(F.lit(1), F.lit(k - 1))).alias("target")

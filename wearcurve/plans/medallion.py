@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wearcurve.operators import stores
-from wearcurve.operators.conform import cast_columns, drop_constant, drop_correlated, shared_units, shift_units
+from wearcurve.operators.conform import cast_columns, drop_constant, drop_correlated, shared_units, shift_units, source_offsets
 from wearcurve.operators.features import engineer
 from wearcurve.operators.normalize import apply_metadata, fit_metadata
 from wearcurve.operators.positions import bounded
-from wearcurve.operators.quality import duplicate_keys, integrity_by_layer
+from wearcurve.operators.quality import duplicate_keys, integrity
 from wearcurve.operators.split import assign_split
+from wearcurve.operators.summary import ROWS, Keys, layer_integrity, unit_summary, write_counted
 from wearcurve.schema import EXPECTED_UNITS, RAW_FIELDS, SEED, feature_columns
 from wearcurve.sources.sinks import base_name, shared_dir, write_csv, write_parquet
 from wearcurve.sources.tables import load
@@ -41,6 +42,7 @@ class Gold:
     features: DataFrame
     labels: DataFrame
     metadata: DataFrame
+    keys: Keys
 
 
 def build_gold(
@@ -65,25 +67,26 @@ def build_gold(
     """
     staging = out or shared_dir(spark, "gold")
     engineered = engineer(load(spark, source), include_lifecycle=include_lifecycle, **blocks)
-    panel = write_parquet(engineered, posixpath.join(staging, "engineered.parquet"))
+    panel, keys = write_counted(engineered, posixpath.join(staging, "engineered.parquet"))
     features = feature_columns(panel)
     fitted = assign_split(panel, seed=seed) if isinstance(fit_on, str) else panel
     metadata = fit_metadata(fitted, features, F.col("split") == fit_on if isinstance(fit_on, str) else fit_on)
     if out is None:
         full = apply_metadata(panel, metadata, features)
-        return Gold(full, stores.feature_store(full), stores.label_store(full), metadata)
+        return Gold(full, stores.feature_store(full), stores.label_store(full), metadata, keys)
 
     metadata_path = posixpath.join(out, "feature_metadata.csv")
     in_order = F.array_position(F.array(*[F.lit(c) for c in features]), F.col("feature"))
     # One row per feature, so one sorted file.
     write_csv(metadata.orderBy(in_order), metadata_path, single_file=True)
     metadata = spark.read.schema(METADATA_SCHEMA).option("header", True).csv(metadata_path)
-    full = write_parquet(apply_metadata(panel, metadata, features), posixpath.join(out, "gold_full.parquet"))
+    full, keys = write_counted(apply_metadata(panel, metadata, features), posixpath.join(out, "gold_full.parquet"))
     return Gold(
         full,
         write_parquet(stores.feature_store(full), posixpath.join(out, "feature_store.parquet")),
         write_parquet(stores.label_store(full), posixpath.join(out, "label_store.parquet")),
         metadata,
+        keys,
     )
 
 
@@ -112,6 +115,9 @@ def run(
     parser and one write, whatever their number; ``source`` numbers the datasets in the order given. Bronze has a folder
     ``dataset=bronze_<file name>`` for each. Without ``out`` silver is
     still written, to the shared folder, so that text is not parsed once for every layer.
+
+    Bronze is read once for a row per unit (``summary/bronze.parquet``); id offsets, silver's own summary and the reports
+    come from it and from what the write jobs counted. Silver short of bronze's rows is an error.
     """
     if not raw_paths:
         raise ValueError("no raw file given")
@@ -129,19 +135,32 @@ def run(
         text = ", ".join(f"{c} string" for c in RAW_FIELDS)
         bronze = spark.read.schema(f"{text}, dataset string").option("header", True).csv(path)
         bronze = bronze.join(listed.drop("path"), "dataset").drop("dataset")
-    silver = shift_units(cast_columns(bronze), offset_by=offset_by, n_sources=len(names))
-    silver_path = posixpath.join(out or shared_dir(spark, "layers"), "silver")
-    silver = write_parquet(silver.select(*RAW_FIELDS, "source"), posixpath.join(silver_path, "silver_feature.parquet"))
-    cleaned = clean(silver)
+    root = out or shared_dir(spark, "layers")
+    typed = cast_columns(bronze)
+    per_unit = write_parquet(unit_summary(typed, by=("source",)), posixpath.join(root, "summary", "bronze.parquet"))
+    offsets = source_offsets(per_unit, offset_by=offset_by)
+    silver = shift_units(typed, offsets=offsets, n_sources=len(names))
+    silver_path = posixpath.join(root, "silver")
+    silver, keys = write_counted(
+        silver.select(*RAW_FIELDS, "source"), posixpath.join(silver_path, "silver_feature.parquet")
+    )
+    of_silver = write_parquet(
+        shift_units(per_unit, offsets=offsets, n_sources=len(names)), posixpath.join(root, "summary", "silver.parquet")
+    )
+    n_bronze = per_unit.agg(F.coalesce(F.sum(ROWS), F.lit(0))).first()[0]
+    if keys.n_rows != n_bronze:
+        raise ValueError(f"silver holds {keys.n_rows} of the {n_bronze} rows of bronze")
+    cleaned, cleaned_keys = clean(silver), keys
     if out is not None:
-        cleaned = write_parquet(cleaned, posixpath.join(silver_path, "silver_feature_cleaned.parquet"))
+        cleaned, cleaned_keys = write_counted(cleaned, posixpath.join(silver_path, "silver_feature_cleaned.parquet"))
     gold = build_gold(
         spark, cleaned, posixpath.join(out, "gold") if out else None,
         fit_on=fit_on, seed=seed, include_lifecycle=include_lifecycle,
     )
     bronze_rows = bronze.select(*RAW_FIELDS)
     rejects = parsed.rejects.join(listed.drop("dataset"), "source").select("path", "value", "reason")
-    layers = {"bronze": bronze_rows, "silver": silver, "cleaned": cleaned, "gold": gold.full}
+    layers = {"silver": (silver, keys), "cleaned": (cleaned, cleaned_keys), "gold": (gold.full, gold.keys)}
+    first = integrity(per_unit, expected_units, rows=ROWS).select(F.lit("bronze").alias("layer"), "*")
     return {
         "bronze": bronze_rows,
         "rejects": rejects,
@@ -151,7 +170,8 @@ def run(
         "feature_store": gold.features,
         "label_store": gold.labels,
         "feature_metadata": gold.metadata,
-        "integrity": integrity_by_layer(layers, expected_units),
+        "integrity": first.unionByName(layer_integrity(layers, of_silver, keys, expected_units)),
+        "unit_summary": of_silver,
         "duplicate_keys": duplicate_keys(silver),
-        "shared_units": shared_units(silver),
+        "shared_units": shared_units(of_silver),
     }
