@@ -1,11 +1,12 @@
 import random
 
+import pytest
 import xxhash
 
 from wearcurve.llm import simhash
 
 
-def print_by_hand(text):
+def print_by_hand(text, width=3):
     lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words, word = [], ""
     for c in lower + " ":
@@ -16,7 +17,7 @@ def print_by_hand(text):
             word += c
     if not words:
         return 0
-    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    shingles = [" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))]
     hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
@@ -85,3 +86,38 @@ def test_chains_and_cells(spark):
         pairs = simhash.near_prints(spark.createDataFrame(signed, "fp long"), 3, cell_rows).collect()
         got = [tuple(sorted((r["a"] % 2**64, r["b"] % 2**64))) for r in pairs]
         assert len(got) == len(set(got)) and set(got) == want
+
+
+@pytest.mark.parametrize("radius", [0, 1, 2, 4])
+def test_other_radius(spark, radius):
+    rnd = random.Random(radius)
+    prints = [rnd.getrandbits(64) for _ in range(150)]
+    for p in prints[:100]:
+        prints += [p ^ sum(1 << b for b in rnd.sample(range(64), k)) for k in (1, 2, 3, 4, 5)]
+    prints = sorted(set(prints))
+    want = {(p, q) for p in prints for q in prints if p < q and (p ^ q).bit_count() <= radius}
+    frame = spark.createDataFrame([(p - (p >> 63 << 64),) for p in prints], "fp long")
+    got = [tuple(sorted((r["a"] % 2**64, r["b"] % 2**64))) for r in simhash.near_prints(frame, radius, 100).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    with pytest.raises(ValueError):
+        simhash.near_prints(frame, 5)
+
+
+def test_classes_follow_radius_and_width(spark):
+    """Long texts with one word changed: their fingerprints lie from none to many bits apart."""
+    rnd = random.Random(8)
+    rows = []
+    for group in range(40):
+        words = [rnd.choice("abcdefghij") * rnd.randint(1, 4) for _ in range(120)]
+        rows.append((len(rows), " ".join(words)))
+        for at in rnd.sample(range(120), 3):
+            rows.append((len(rows), " ".join([*words[:at], "changed", *words[at + 1 :]])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = set()
+    for radius, width in ((0, 3), (1, 3), (4, 3), (4, 5)):
+        want = classes_by_hand({i: print_by_hand(t, width) for i, t in rows}, radius)
+        got = {r["doc_id"]: r["component_id"] for r in simhash.classes(docs, radius=radius, words=width).collect()}
+        assert got == want
+        assert {r["doc_id"] for r in simhash.keep_one(docs, radius=radius, words=width).collect()} == set(want.values())
+        seen.add(len(set(want.values())))
+    assert len(seen) > 2

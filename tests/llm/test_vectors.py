@@ -112,4 +112,27 @@ def test_passes_of_a_hot_topic(spark):
 
 def test_passes_grow_with_rows():
     none = np.empty((0, 64))
-    assert [vectors.passes_for(none, n, 0.9, 64) for n in (50, 10**4, 10**6, 10**8)] == [1, 8, 25, 72]
+    assert [vectors.passes_for(none, n, 0.9, 64, 0.95) for n in (50, 10**4, 10**6, 10**8)] == [1, 8, 25, 72]
+
+
+def clustered(n, topics, spread, seed):
+    """Vectors about ``topics`` directions: pairs of a topic lie on both sides of the threshold."""
+    rng = np.random.default_rng(seed)
+    centres = unit(rng.standard_normal((topics, 32)))
+    return unit(centres[rng.integers(topics, size=n)] + rng.standard_normal((n, 32)) * spread / 32**0.5).astype(np.float32)
+
+
+def test_passes_equal_all_pairs(spark):
+    """Link counts and components of whole clusters by passes, at a size that all pairs could serve too."""
+    x = clustered(3000, 60, 0.33, 4)
+    number, whole = vectors.planned(frame_of(spark, x).selectExpr("vec_id AS id", "embedding AS vec"), 0.9, vectors.WINDOW, vectors.RECALL)
+    assert not whole and 1 < number[32] < 20
+    want = by_hand({i: v.tolist() for i, v in enumerate(x)})
+    assert sum(n for n, _, _ in want.values()) > 10_000
+    assert got_of(vectors.near_copies(frame_of(spark, x))) == want
+
+
+def test_crowds_that_no_passes_part(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "passes_for", lambda *_: np.inf)
+    x = clustered(600, 6, 0.4, 5)
+    assert got_of(vectors.near_copies(frame_of(spark, x))) == by_hand({i: v.tolist() for i, v in enumerate(x)})

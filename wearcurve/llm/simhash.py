@@ -83,7 +83,8 @@ def visits(prints: np.ndarray, radius: int, salts: int) -> tuple[np.ndarray, np.
                     near = np.flatnonzero(sum(cost[m][:, d] for d, m in zip(dims, moves)) <= radius)
                     where.append(near)
                     cells.append(home[near] + step)
-    guests, cells = np.concatenate(where[1:]), np.concatenate(cells[1:])
+    none = [np.empty(0, np.int64)]
+    guests, cells = np.concatenate(where[1:] or none), np.concatenate(cells[1:] or none)
     salt = (prints * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % salts
     out = [(home, salt, np.ones(len(prints), bool), where[0])]
     for s in range(salts):
@@ -125,7 +126,7 @@ def pairs_in_cell(home: np.ndarray, guests: np.ndarray, radius: int, tile: int =
 def near_prints(distinct: DataFrame, radius: int = RADIUS, cell_rows: int = CELL_ROWS) -> DataFrame:
     """Pairs ``a``, ``b`` of distinct fingerprints (column ``fp``) that differ in at most ``radius`` bits."""
     if not 0 <= radius <= BAND:
-        raise ValueError(f"the radius is at most {BAND}")
+        raise ValueError(f"the radius is from 0 to {BAND}")
     salts = 1 + distinct.count() // cell_rows
 
     def deal(batches):
@@ -146,15 +147,16 @@ def near_prints(distinct: DataFrame, radius: int = RADIUS, cell_rows: int = CELL
     return dealt.groupBy("cell", "salt").applyInPandas(compare, "a long, b long")
 
 
-def classes(docs: DataFrame, *, radius: int = RADIUS) -> DataFrame:
-    """Each document's fingerprint and the smallest ``doc_id`` reachable by links of near fingerprints.
+def classes(docs: DataFrame, *, radius: int = RADIUS, words: int = WORDS) -> DataFrame:
+    """Each document's fingerprint, of shingles of ``words`` words, and the smallest ``doc_id`` reachable by links of
+    fingerprints that differ in at most ``radius`` bits.
 
     Texts without words have fingerprint zero and link like any other. One row comes back for each row that goes in;
     a null ``doc_id`` is nobody's smallest, and a class of nulls alone has a null ``component_id``.
     """
-    prints = stage(fingerprints(docs.select("doc_id", "text")), "prints")
+    prints = stage(fingerprints(docs.select("doc_id", "text"), words=words), "prints")
     groups = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "groups")
-    linked = components(near_prints(groups)).withColumnRenamed("node", "fp")
+    linked = components(near_prints(groups, radius)).withColumnRenamed("node", "fp")
     labelled = groups.join(linked, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
     ids = labelled.select("fp", "component").join(least, "component").select("fp", "component_id")
@@ -163,11 +165,11 @@ def classes(docs: DataFrame, *, radius: int = RADIUS) -> DataFrame:
     )
 
 
-def keep_one(docs: DataFrame, *, radius: int = RADIUS) -> DataFrame:
+def keep_one(docs: DataFrame, *, radius: int = RADIUS, words: int = WORDS) -> DataFrame:
     """One document of each class: that of the smallest ``doc_id``.
 
     ``doc_id`` names a document: of rows that repeat it one stays. Rows without it cannot be named a copy and stay.
     """
-    kept = classes(docs, radius=radius).filter("doc_id = component_id").select("doc_id").distinct()
+    kept = classes(docs, radius=radius, words=words).filter("doc_id = component_id").select("doc_id").distinct()
     named = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.select(*docs.columns).union(docs.filter("doc_id IS NULL"))

@@ -6,8 +6,8 @@ over all passes into components. All passes are one shuffle; what a partition's
 afterwards from these rows alone.
 
 The number of passes follows from the rows and from how crowded they are (``passes_for``), so that a pair right at the
-threshold is met with probability ``RECALL`` or more at any size. Where that takes more work than comparing all pairs,
-all pairs are compared.
+threshold is met with probability ``RECALL`` or more at any size. Where no number of passes does that, as signs cannot
+part a crowd, all pairs of that length are compared instead.
 
 The window bounds what a pass finds, not what is counted: links are then counted over whole components. A vector within
 half the threshold's angle of its component's smallest member links with every other such vector, so these are counted
@@ -30,12 +30,10 @@ from wearcurve.llm.work import sample_by_hash, stage
 
 THRESHOLD = 0.9
 #: Probability that a pair at the threshold which nothing else connects is met in some pass.
-RECALL = 0.95
+RECALL = 0.99
 WINDOW = 64
 #: Vectors from which the crowding around a vector is told.
 SAMPLE = 1024
-#: A pass takes as much work for a vector as comparing it with about so many others.
-PASS_ROWS = 2500
 #: Vectors of one side of a task where all pairs are compared.
 ALL_BLOCK = 16384
 #: Single-precision cosines closer to the threshold are computed again in double precision.
@@ -119,7 +117,7 @@ def passes_for(sample: np.ndarray, rows: int, threshold: float, window: int, rec
 
 
 def planned(vectors: DataFrame, threshold: float, window: int, recall: float) -> tuple[dict[int, int], dict[int, int]]:
-    """Passes for each length of vector, and the rows of the lengths whose pairs are all compared."""
+    """Passes for each length of vector, and the rows of the lengths whose crowds no passes part."""
     sizes = {r["dim"]: r["count"] for r in vectors.groupBy(F.size("vec").alias("dim")).count().collect()}
     if not sizes:
         return {}, {}
@@ -130,7 +128,7 @@ def planned(vectors: DataFrame, threshold: float, window: int, recall: float) ->
     for dim, rows in sizes.items():
         sample = _unit(pa.array(some.get(dim, []), pa.list_(pa.float32())), dim) if dim in some else np.empty((0, dim))
         number = passes_for(sample, rows, threshold, window, recall)
-        if rows <= number * PASS_ROWS:
+        if np.isinf(number):
             whole[dim] = rows
         else:
             passes[dim] = int(number)
@@ -336,6 +334,7 @@ def near_copies(
     of different lengths. ``key`` names a vector: of rows that repeat a key, the one of the smallest vector counts, and
     one row comes back. Rows without a key link with nothing and come back with a null ``component_id``, kept. A pair at
     the threshold that nothing else connects is found with probability ``recall`` or more, unless ``passes`` are given.
+    Components are read as single-precision numbers, as the tables hold them, and compared in double precision.
     """
     named = vectors.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").cast("array<float>").alias("vec"))
     one = stage(named.filter("id IS NOT NULL").groupBy("id").agg(F.min("vec").alias("vec")), "vectors")
