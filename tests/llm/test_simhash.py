@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -64,9 +65,21 @@ def test_odd_rows(odd_docs, no_docs):
             assert (int(r["fingerprint"], 16), r["component_id"]) == (prints[r["doc_id"]], want[r["doc_id"]])
     assert simhash.classes(no_docs).count() == 0
     assert simhash.keep_one(no_docs).count() == 0
-    kept = [r["doc_id"] for r in simhash.keep_one(odd_docs).collect()]
-    assert sorted(k for k in kept if k is not None) == sorted(set(want.values()))
-    assert kept.count(None) == 2
+    kept = simhash.keep_one(odd_docs).collect()
+    assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == sorted(set(want.values()))
+    assert [r["text"] for r in kept if r["doc_id"] is None] == ["no id here"]  # the other lies in the wordless class
+
+
+def test_repeated_ids(spark):
+    """Each class keeps one row, also where an id stands for several texts and where none has an id."""
+    rows = [(1, "a b c d e", "x"), (1, "p q r s t", "x"), (1, "p q r s t", "y"), (2, "a b c d e", "x"), (2, "a b c d e", "x")]
+    rows += [(None, "u v w x y", "x")] * 3 + [(None, "p q r s t", "x"), (None, None, None), (3, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = sorted((r["text"], r["doc_id"]) for r in simhash.keep_one(docs).collect())
+    assert kept == [("", 3), ("a b c d e", 1), ("p q r s t", 1), ("u v w x y", None)]
+    assert simhash.keep_one(docs.repartition(5)).collect() != []
+    order = lambda d: sorted(map(str, simhash.keep_one(d).collect()))
+    assert order(docs) == order(docs.repartition(5))
 
 
 def test_chains_and_cells(spark):
@@ -82,12 +95,29 @@ def test_chains_and_cells(spark):
     prints = sorted({*prints, 0, 1, 7, 15, 2**64 - 1})
     want = {(p, q) for p in prints for q in prints if p < q and (p ^ q).bit_count() <= 3}
     signed = [(p - (p >> 63 << 64),) for p in prints]
-    for cell_rows in (10**6, 100):
+    for cell_rows in (10**6, 100, 7):
         pairs = simhash.near_prints(spark.createDataFrame(signed, "fp long"), 3, cell_rows).collect()
         got = [tuple(sorted((r["a"] % 2**64, r["b"] % 2**64))) for r in pairs]
         assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_visits_stay_few():
+    """Visits a fingerprint hardly grow from a million to a hundred million, and no task holds more than it should."""
+    sample, rows = np.random.default_rng(4).integers(0, 2**64, 100_000, np.uint64), simhash.CELL_ROWS
+    at_home, guests = simhash.cell_sizes(sample, simhash.RADIUS)
+    visits = {}
+    for size in (10**6, 10**7, 10**8):
+        scale = size / len(sample)
+        parts, blocks = simhash.split_cells((at_home * scale).astype(int), (guests * scale).astype(int), rows)
+        dealt = list(simhash.visits(sample, simhash.RADIUS, parts, blocks))
+        visits[size] = sum(len(d[0]) for d in dealt) / len(sample)
+        for cell, _, block, home, _ in dealt:
+            task = cell * (blocks.max() + 1) + block
+            for side in (home, ~home):
+                assert np.unique(task[side], return_counts=True)[1].max(initial=0) * scale < 1.2 * rows
+    assert visits[10**6] < 21 and visits[10**8] < 25
+
+
 @pytest.mark.parametrize("radius", [0, 1, 2, 4])
 def test_other_radius(spark, radius):
     rnd = random.Random(radius)
