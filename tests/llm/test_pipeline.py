@@ -38,3 +38,40 @@ def test_stages_against_brute_force(spark, docs, tmp_path):
     for r in kept["encode"].collect():
         assert r["n_tokens"] == len(library.encode(texts[r["doc_id"]]))
     assert sorted(corpus_pipeline.run(spark, DATA).collect()) == sorted(kept["encode"].collect())
+
+
+def folder(docs, labels, path):
+    for name, df in (("documents", docs), ("labels", labels)):
+        df.write.parquet(f"{path}/{name}.parquet")
+    return str(path)
+
+
+def test_odd_rows(spark, docs, odd_docs, tmp_path):
+    """Nulls, repeats and clashing columns among sound documents: each class once, and only sound ones remain."""
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    extra = [c for c in odd_docs.columns if c not in docs.columns]
+    sound = docs.withColumn("doc_id", docs["doc_id"] + 1000)
+    sound = sound.unionByName(sound.limit(20)).unionByName(sound.limit(20).selectExpr("null AS doc_id", *sound.columns[1:]))
+    mixed = odd_docs.unionByName(sound, allowMissingColumns=True)
+    sf_dir = folder(mixed, labels.withColumn("doc_id", labels["doc_id"] + 1000), tmp_path)
+    state, seen = spark.read.parquet(f"{sf_dir}/documents.parquet"), {}
+    for i, (name, step) in enumerate(corpus_pipeline.STAGES):
+        step(spark, state, sf_dir).write.parquet(path := str(tmp_path / f"stage-{i}"))
+        state = spark.read.parquet(path)
+        seen[name] = state.collect()
+        if name != "encode":
+            assert state.columns == mixed.columns and set(extra) < set(state.columns)
+    texts = [r["text"] for r in seen["near copies"]]
+    assert len(texts) == len(set(texts)) and None not in texts and "" not in texts
+    assert None not in {r["doc_id"] for r in seen["near copies"]}  # rows without an id are copies of named ones here
+    want = {r["text"] for r in seen["quality rules"]}
+    prints = {t: print_by_hand(t) for t in want}
+    assert len(texts) == len(set(classes_by_hand({i: p for i, p in enumerate(prints.values())}).values()))
+    assert len(seen["encode"]) == len(seen["mix"]) > 0
+    assert sorted(corpus_pipeline.run(spark, sf_dir).collect()) == sorted(seen["encode"])
+
+
+def test_empty_tables(spark, no_docs, tmp_path):
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    assert corpus_pipeline.run(spark, folder(no_docs, labels, tmp_path / "a")).collect() == []
+    assert corpus_pipeline.run(spark, folder(no_docs, labels.limit(0), tmp_path / "b")).collect() == []
