@@ -32,3 +32,25 @@ def test_table(docs, tmp_path):
 def test_odd_rows(odd_docs, no_docs, tmp_path):
     check(written(odd_docs, tmp_path / "a", bucket_bytes=1000), odd_docs.collect())
     assert written(no_docs, tmp_path / "b") == []
+
+
+def test_equal_rows(spark, docs, tmp_path):
+    """A row that fills a third of the table is dealt over all buckets, alike in every run."""
+    hot = spark.range(100_000).selectExpr("7L AS doc_id", "'same text' AS text", "CAST(null AS string) AS lang")
+    rest = docs.select("doc_id", "text", "lang")
+    both = hot.union(rest)
+    rows = written(both, tmp_path / "a", bucket_bytes=50_000, hot_rows=1000)
+    check(rows, both.collect())
+    again = written(both.repartition(7), tmp_path / "b", bucket_bytes=50_000, hot_rows=1000)
+    place = lambda r: (str(r["doc_id"]), r["shard"], r["slot"])
+    assert sorted(map(place, rows)) == sorted(map(place, again))
+    others = sorted(r["slot"] for r in rows if r["text_crc32"] != zlib.crc32(b"same text"))
+    assert others[len(others) // 2] in range(len(rows) // 8 // 4, len(rows) // 8 * 3 // 4)  # spread among the copies
+    files = spark.read.parquet(str(tmp_path / "a")).selectExpr("input_file_name() AS f", "doc_id").groupBy("f").count()
+    assert files.agg({"count": "max"}).first()[0] < 0.05 * len(rows)
+
+
+def test_offsets_over_blocks(spark, docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "BLOCK", 3)
+    monkeypatch.setattr(sharding, "SMALL", 4)
+    check(written(docs, tmp_path / "a", bucket_bytes=10_000), docs.collect())
