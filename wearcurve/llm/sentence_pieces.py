@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wearcurve.llm.piece_bpe import load, pieces
-from wearcurve.llm.units import list_array, map_texts, schema_with
+from wearcurve.llm.units import list_array, map_texts, schema_with, trimmed
 from wearcurve.llm.work import without
 
 
@@ -35,7 +35,9 @@ def encode(docs: DataFrame, model: str, *, text: str = "text", ids: str = "ids",
         return out
 
     added = f"`{ids}` array<int>" + (f", `{decoded}` string" if decoded else "")
-    return docs.mapInArrow(lambda batches: map_texts(batches, text, work, names), schema_with(docs, text, added))
+    return docs.mapInArrow(
+        lambda batches: trimmed(map_texts(batches, text, work, names)), schema_with(docs, text, added)
+    )
 
 
 def decode(docs: DataFrame, model: str, *, ids: str = "ids", text: str = "text") -> DataFrame:

@@ -7,6 +7,7 @@ starts anew, so its memory does not grow with its input.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -196,6 +197,17 @@ def map_texts(batches, text: str, work: Callable[[list[bytes]], list[pa.Array]],
             yield pa.RecordBatch.from_arrays([c for _, c in rest] + work(texts), names=[n for n, _ in rest] + names)
 
 
+def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``batches``; what is free after each goes back to the system, which an idle worker would keep from its executor."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+        if trim:
+            trim(0)
+
+
 def schema_with(df, text: str, added: str):
     """Schema of ``df`` without its text column, and with the columns of the DDL ``added``."""
     from pyspark.sql import types as T
