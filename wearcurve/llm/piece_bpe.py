@@ -16,6 +16,8 @@ from wearcurve.llm.units import MEMO_UNITS, Ragged, by_text, space_table
 
 MARK = "▁"
 SPACE = space_table(b" ")
+#: Bytes of texts whose words are found together.
+CHUNK_BYTES = 500_000
 _MARK = MARK.encode()
 # A run of space marks with what follows it, a run alone, or a line break: no piece reaches across these cuts.
 _UNIT = re.compile(rf"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
@@ -109,7 +111,7 @@ class Pieces:
         """Flat ids of all texts and the number of each."""
         odd = [i for i, t in enumerate(texts) if t[:1] == b" " or t[-1:] == b" " or b"  " in t or _MARK in t]
         if not odd:
-            return by_text(texts, SPACE, lambda run: self.words.of_texts(run, SPACE))
+            return by_text(texts, SPACE, lambda run: self.words.of_texts(run, SPACE), CHUNK_BYTES)
         plain = sorted(set(range(len(texts))).difference(odd))
         flat, sizes = self([texts[i] for i in plain])
         values, more = self.of_units([self.bpe.units(texts[i].decode()) for i in odd])

@@ -30,8 +30,8 @@ def encode(docs: DataFrame, model: str, *, text: str = "text", ids: str = "ids",
         out = [list_array(values, sizes)]
         if decoded:
             ends = np.cumsum(sizes)
-            flat = [values[a:b].tolist() for a, b in zip((ends - sizes).tolist(), ends.tolist())]
-            out.append(pa.array([load(model).library.decode(x) if x else "" for x in flat], pa.string()))
+            spans, library = zip((ends - sizes).tolist(), ends.tolist()), load(model).library
+            out.append(pa.array((library.decode(values[a:b].tolist()) if b > a else "" for a, b in spans), pa.string()))
         return out
 
     added = f"`{ids}` array<int>" + (f", `{decoded}` string" if decoded else "")

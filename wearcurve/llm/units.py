@@ -156,10 +156,10 @@ def _parts(text: bytes, space: np.ndarray, limit: int) -> Iterator[bytes]:
     yield text[at:]
 
 
-def by_text(texts: list[bytes], space: np.ndarray, work) -> tuple[np.ndarray, np.ndarray]:
+def by_text(texts: list[bytes], space: np.ndarray, work, limit: int = CHUNK_BYTES) -> tuple[np.ndarray, np.ndarray]:
     """Values of all texts, flat, and the number of each; ``work`` gets runs of texts or of parts of texts."""
     values, sizes = [np.empty(0, np.int32)], np.zeros(len(texts), np.int64)
-    for run, places in chunks(texts, space):
+    for run, places in chunks(texts, space, limit):
         flat, each = work(run)
         values.append(flat)
         np.add.at(sizes, places, each)
