@@ -145,3 +145,34 @@ def test_rows_of_a_tree_are_bounded(rows):
     model = forest.fit(rows, NAMES, numTrees=6, maxDepth=30, tree_rows=20).stages[-1]
     sizes = [r["n_rows"] for r in trees.node_table(model).filter("node = 0").collect()]
     assert len(sizes) == 6 and 5 < np.mean(sizes) < 40
+
+
+def test_rows_go_down_small_tables_without_joins(rows, model, nodes):
+    """Nodes that may be broadcast: the rows are neither joined nor multiplied on the way to a forest's mean."""
+    depths, splits, levels = (0, 3, 30), (2, 20), max(t.depth for t in model.trees)
+    options = dict(depths=depths, splits=splits, levels=levels)
+    by_joins = trees.walk(rows, nodes, NAMES, trees=4, **options)
+    by_tasks = trees.walk(rows, nodes, NAMES, trees=4, n_nodes=model.totalNumNodes, **options)
+    assert by_tasks.schema.names == by_joins.schema.names
+    assert sorted(by_tasks.collect()) == sorted(by_joins.collect())
+    for n_nodes, joined in ((model.totalNumNodes, False), (trees.MAX_TARGETS + 1, True)):
+        means = trees.mean_predictions(rows, nodes, NAMES, sizes=(1, 4), n_nodes=n_nodes, keep=["id"], **options)
+        assert ("Join" in means._jdf.queryExecution().optimizedPlan().toString()) is joined
+        got = {r["id"]: r for r in means.collect()}
+        assert len(got) == 240
+        for d in depths:
+            for s in splits:
+                say = by_hand(nodes, d, s)
+                for r in rows.limit(30).collect():
+                    assert got[r["id"]][f"m_{d}_{s}_1"] == pytest.approx(say(r)[0])
+                    assert got[r["id"]][f"m_{d}_{s}_4"] == pytest.approx(np.mean(say(r)))
+
+
+def test_cut_tables_and_odd_rows_go_down_in_tasks(spark, rows, model, nodes):
+    """Node numbers with gaps, NaN, and no rows at all."""
+    short = trees.cut(nodes, 12)
+    odd = rows.select("id", *[F.when(F.col("id") % 7 == i, float("nan")).otherwise(F.col(c)).alias(c) for i, c in enumerate(NAMES)])
+    levels = max(t.depth for t in model.trees)
+    a, b = (trees.walk(odd.select("id", *NAMES), short, NAMES, trees=4, levels=levels, n_nodes=n, keep=["id"]) for n in (short.count(), None))
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert trees.walk(odd.limit(0), short, NAMES, trees=4, levels=levels, n_nodes=short.count()).count() == 0
