@@ -98,3 +98,24 @@ def test_correlations_of_pairs_with_gaps(spark):
     assert redundant_columns(pairs, ["a", "b", "c"]) == ["c"] and redundant_columns(pairs, ["c", "b", "a"]) == ["a"]
     told = {r["feature"]: (r["n"], r["is_constant"]) for r in constant_columns(df, list(table)).collect()}
     assert told == {"a": (400, False), "b": (342, False), "c": (320, False), "fixed": (400, True), "none": (0, True), "once": (1, True)}
+
+
+def test_correlations_with_gaps_and_odd_values_in_one_row_a_task(spark):
+    """Against numpy over the rows that hold both; no row is multiplied by the number of pairs."""
+    rng = np.random.default_rng(4)
+    x = 2388 + 0.01 * rng.standard_normal((500, 4))
+    x[:, 1] += x[:, 0] - 2388
+    x[:, 3] = 7.0
+    values = [[None if (r + c) % 5 == 0 and c else float(x[r, c]) for c in range(4)] + [float("inf") if r == 3 else float(r), None] for r in range(500)]
+    names = list("abcdef")
+    df = spark.createDataFrame(values, ", ".join(f"{n} double" for n in names)).repartition(7)
+    pairs = conform.correlated_pairs(df, names)
+    assert "Generate" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r["a"], r["b"]): (r["n"], r["r"]) for r in pairs.collect()}
+    full = np.array([[np.nan if v is None else v for v in row] for row in values], float)
+    for i, j in ((0, 1), (0, 2), (1, 2)):
+        both = ~np.isnan(full[:, i]) & ~np.isnan(full[:, j])
+        n, r = got[names[i], names[j]]
+        assert n == both.sum() and r == pytest.approx(np.corrcoef(full[both, i], full[both, j])[0, 1])
+    assert got["a", "d"][1] is None and np.isnan(got["a", "e"][1]) and len(got) == 10
+    assert conform.correlated_pairs(df.limit(0), names).count() == 0

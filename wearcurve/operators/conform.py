@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,23 +56,78 @@ def constant_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def correlated_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``a, b, n, r``: correlation of each pair of columns, ``a`` before ``b``, over the ``n`` rows that have both.
 
-    One pass: each task merges its rows to one row a pair, whose running moments stay centred, so that a small deviation
-    beside a large mean is no trouble. Without two different readings on both sides ``r`` is null.
+    One pass: each task sums the products of a batch around the batch's own means, for all pairs at once, and leaves one
+    row a pair. Its moments are centred throughout, so that a small deviation beside a large mean is no trouble. Without
+    two different readings on both sides ``r`` is null; a pair with a reading that is no finite number has no ``r`` but NaN.
     """
-    pairs = [
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-        for i, a in enumerate(columns) for j, b in enumerate(columns) if i < j
-    ]
-    both = df.select(F.inline(F.array(*pairs))).filter("x IS NOT NULL AND y IS NOT NULL")
+    k = len(columns)
+    first, second = np.triu_indices(k, 1)
+    stats = ("n", "mx", "my", "cxx", "cyy", "cxy", "x_low", "x_high", "y_low", "y_high")
+
+    def moments(x: np.ndarray, there: np.ndarray) -> dict[str, np.ndarray]:
+        """Of a batch; ``x[i, j]`` of a result is of column i over the rows that hold i and j."""
+        m = there.astype(float)
+        n = m.T @ m
+        sound = np.where(there & np.isfinite(x), x, 0.0)
+        mean = sound.sum(axis=0) / np.maximum(m.sum(axis=0), 1)
+        d = np.where(there & np.isfinite(x), x - mean, 0.0)
+        s, some = d.T @ m, np.maximum(n, 1)
+        low, high = np.full((k, k), np.inf), np.full((k, k), -np.inf)
+        for j in range(k):
+            rows = slice(None) if there[:, j].all() else there[:, j]
+            least, most = np.where(there[rows], x[rows], np.inf), np.where(there[rows], x[rows], -np.inf)
+            low[:, j], high[:, j] = np.fmin.reduce(least, axis=0, initial=np.inf), np.max(most, axis=0, initial=-np.inf)
+        found = dict(
+            n=n, mean=mean[:, None] + s / some, square=(d * d).T @ m - s * s / some, product=d.T @ d - s * s.T / some,
+            low=low, high=high,
+        )
+        wild = (there & ~np.isfinite(x)).astype(float)
+        if wild.any():
+            touched = (wild.T @ m + m.T @ wild) > 0
+            found["square"][touched] = found["product"][touched] = np.nan
+        return found
+
+    def merged(a: dict[str, np.ndarray], b: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        n = a["n"] + b["n"]
+        some, apart = np.maximum(n, 1), b["mean"] - a["mean"]
+        weight = a["n"] * b["n"] / some
+        return dict(
+            n=n, mean=a["mean"] + apart * b["n"] / some, square=a["square"] + b["square"] + apart * apart * weight,
+            product=a["product"] + b["product"] + apart * apart.T * weight,
+            low=np.fmin(a["low"], b["low"]), high=np.maximum(a["high"], b["high"]),
+        )
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                there = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns])
+                found = moments(np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]), there)
+                total = found if total is None else merged(total, found)
+        if total is not None:
+            t, u = (lambda name: total[name][first, second]), (lambda name: total[name][second, first])
+            values = (t("n"), t("mean"), u("mean"), t("square"), u("square"), t("product"), t("low"), t("high"), u("low"), u("high"))
+            ends = [pa.array(first, pa.int32()), pa.array(second, pa.int32())]
+            yield pa.RecordBatch.from_arrays([*ends, *map(pa.array, values)], names=["i", "j", *stats])
+
+    schema = "i int, j int, " + ", ".join(f"{name} double" for name in stats)
+    partials = df.select(*[F.col(c).cast("double") for c in columns]).mapInArrow(partial, schema).filter("n > 0")
+    # A row a task and pair; around the mean of all tasks.
+    every = Window.partitionBy("i", "j")
+    dx, dy = (F.col(m) - F.sum(F.col("n") * F.col(m)).over(every) / F.sum("n").over(every) for m in ("mx", "my"))
+    about = partials.select("*", dx.alias("dx"), dy.alias("dy"))
     names = F.array(*[F.lit(c) for c in columns])
-    found = both.groupBy("i", "j").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("r"),
-        (F.min("x") < F.max("x")).alias("x_varies"), (F.min("y") < F.max("y")).alias("y_varies"),
+    found = about.groupBy("i", "j").agg(
+        F.sum("n").cast("long").alias("n"),
+        F.sum(F.col("cxx") + F.col("n") * F.col("dx") ** 2).alias("cxx"),
+        F.sum(F.col("cyy") + F.col("n") * F.col("dy") ** 2).alias("cyy"),
+        F.sum(F.col("cxy") + F.col("n") * F.col("dx") * F.col("dy")).alias("cxy"),
+        (F.min("x_low") < F.max("x_high")).alias("x_varies"), (F.min("y_low") < F.max("y_high")).alias("y_varies"),
     )
+    r = F.try_divide("cxy", F.sqrt("cxx") * F.sqrt("cyy"))
     return found.select(
         F.element_at(names, F.col("i") + 1).alias("a"), F.element_at(names, F.col("j") + 1).alias("b"), "n",
-        F.when(F.col("x_varies") & F.col("y_varies"), F.col("r")).alias("r"),
+        F.when(F.col("x_varies") & F.col("y_varies"), r).alias("r"),
     )
 
 
