@@ -3,6 +3,7 @@ from datetime import datetime
 import numpy as np
 import pytest
 
+from wearcurve.operators import split
 from wearcurve.models import forest, registry, ridge
 from wearcurve.plans.scoring import score_fleet
 from wearcurve.plans.training import predict, prepare, train
@@ -142,3 +143,13 @@ def test_a_fleet_holds_no_training_unit_whatever_the_seed(spark, rows, tmp_path)
     tests = {tuple(r) for r in ready.rows.filter("split = 'test'").select("cycle", *NAMES).collect()}
     drawn = {tuple(r) for r in score_fleet(spark, ready.rows, str(tmp_path), n=30).predictions.select("cycle", *NAMES).collect()}
     assert drawn <= tests
+
+
+def test_split_and_folds_are_written_once(spark, rows):
+    """Training rows are the train part of the one written table, with the folds they had as a table of their own."""
+    ready = prepare(spark, rows)
+    assert set(ready.train.inputFiles()) <= set(ready.rows.inputFiles())
+    assert ready.rows.columns == [*rows.columns, "split"] and ready.train.columns == [*rows.columns, "split", "fold"]
+    want = split.assign_folds(ready.rows.filter("split = 'train'"))
+    assert sorted(ready.train.select(*KEYS, "fold").collect()) == sorted(want.select(*KEYS, "fold").collect())
+    assert ready.train.filter("fold IS NULL").isEmpty()

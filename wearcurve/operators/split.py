@@ -98,14 +98,16 @@ def split_sizes(df: DataFrame, *, unit: str = "unit", rows: str | None = None) -
 
 
 def assign_folds(
-    df: DataFrame, k: int = 3, *, unit: str = "unit", cycle: str = "cycle", summary: DataFrame | None = None
+    df: DataFrame, k: int = 3, *, unit: str = "unit", cycle: str = "cycle", summary: DataFrame | None = None,
+    among: Column | None = None,
 ) -> DataFrame:
     """Add ``fold`` 0..k-1: contiguous in (unit, cycle) order, the first ``n mod k`` one row longer.
 
     Rows are counted in the ``summary`` of ``df`` where it is given; then only the blocks that hold a cut are sought
-    in ``df`` itself.
+    in ``df`` itself. With ``among`` the rows that meet it are dealt into folds; ``fold`` is null for the others.
     """
-    keyed = df.select(
+    dealt = df if among is None else df.filter(among)
+    keyed = dealt.select(
         unit,
         cycle,
         F.shiftright(unit, DIGIT_BITS).alias("_unit_lead"),
@@ -130,6 +132,7 @@ def assign_folds(
     fold = F.lit(k - 1)
     for j in reversed(range(k - 1)):
         fold = F.when(place <= F.col("_ends")[j]["end"], j).otherwise(fold)
+    fold = fold if among is None else F.when(among, fold)
     return df.withColumn("_ends", ends.scalar()).withColumn("fold", fold.cast("int")).drop("_ends")
 
 

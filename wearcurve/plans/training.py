@@ -20,7 +20,7 @@ from wearcurve.sources.sinks import shared_dir, write_parquet
 
 @dataclass(frozen=True)
 class Prepared:
-    """Rows with ``split``, and the training rows with ``fold``, both written tables; how they were split."""
+    """Rows with ``split``, and the training rows with ``fold``, both read from one written table; how they were split."""
 
     rows: DataFrame
     train: DataFrame
@@ -40,16 +40,19 @@ def prepare(
 ) -> Prepared:
     """Training reads its rows many times, so split and folds are settled once and written.
 
-    The table is partitioned by split: reading one split prunes the others.
+    The table is written once and partitioned by split: reading one split prunes the others. Cut points of the folds come
+    from the keys alone.
     """
     require_columns(gold, (*KEYS, LABEL), "gold")
     path = path or shared_dir(spark, "training")
     features = feature_columns(gold)
     rows_path = posixpath.join(path, "rows")
-    assign_split(gold, seed=seed, shares=shares).write.mode("overwrite").partitionBy("split").parquet(rows_path)
+    is_train = F.col("split") == "train"
+    folded = assign_folds(assign_split(gold, seed=seed, shares=shares), folds, among=is_train)
+    folded.write.mode("overwrite").partitionBy("split").parquet(rows_path)
     rows = spark.read.parquet(rows_path)
-    folded = assign_folds(rows.filter(F.col("split") == "train"), folds)
-    return Prepared(rows, write_parquet(folded, posixpath.join(path, "train")), features, seed, shares)
+    own = [c for c in rows.columns if c not in ("split", "fold")]
+    return Prepared(rows.drop("fold"), rows.filter(is_train).select(*own, "split", "fold"), features, seed, shares)
 
 
 def predict(model: PipelineModel, df: DataFrame, name: str = "RUL_pred") -> DataFrame:
