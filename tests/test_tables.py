@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import types as T
 
 from tests.panels import rows_of, small
+from wearcurve.operators import stores
 from wearcurve.schema import feature_columns, require_columns
 from wearcurve.sources import sinks
 from wearcurve.sources.sinks import base_name, shared_dir, write_bronze, write_csv, write_parquet
@@ -81,3 +82,16 @@ def test_work_folder_is_asked_for_and_released(spark, tmp_path):
     sinks._handed_out.update(before)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+def test_buckets_grow_with_the_table(spark):
+    gold = small(spark, [(i, 1, 0.5) for i in range(40)])
+    assert [stores.buckets_for(gold, n) for n in (100, 5, 3, 1)] == [8, 8, 16, 64]
+    assert stores.buckets_for(gold.limit(0)) == 8
+
+
+def test_packed_bronze_is_read_like_plain(spark, tmp_path):
+    df = small(spark, [(i, 1, 0.5) for i in range(8)])
+    path = write_bronze(df, "raw/train.txt", str(tmp_path), compression="gzip")
+    assert list((tmp_path / "bronze_train").glob("part-*.csv.gz"))
+    assert read_csv(spark, path).count() == 8
