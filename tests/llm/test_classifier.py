@@ -104,3 +104,16 @@ def test_one_class_no_labels_odd_rows_and_empty_tables(spark, odd_docs, no_docs,
     assert classifier.classify(no_docs, mid[1]).collect() == []
     rows = classifier.classify(odd_docs.unionByName(odd_docs), same).groupBy("doc_id").agg(F.count_distinct("score").alias("n"))
     assert {r["n"] for r in rows.collect()} == {1}
+
+
+def test_fits_in_a_session_that_has_counted_rows(spark):
+    """Once rows were counted while they were written, a session cannot be sent to tasks, nor can what holds it."""
+    from pyspark.sql import Observation
+
+    seen = Observation("seen")
+    assert spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).count() == 3 and seen.get["n"] == 3
+    good, bad = "plain words make a line of text", "|||| 0 0 ## 1 2 | 77 ||"
+    docs = spark.createDataFrame([(i, f"{good if i % 2 else bad} {i % 7}") for i in range(400)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    found = classifier.classify(docs, labels).collect()
+    assert len(found) == 400 and all(r["predicted"] == r["doc_id"] % 2 for r in found)

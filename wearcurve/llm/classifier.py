@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -177,20 +177,21 @@ def fit(labelled: DataFrame, *, key: str = "doc_id", label: str = "label", fit_r
     if not rules:
         return Ensemble(_log_odds(ones / total), ())
     marks = F.array(*[_holds(r).cast("double") for r in rules])
-    matrix = stage(rows.select("judge", "label", marks.alias("marks")), "rules").select(
-        "judge", "label", array_to_vector("marks").alias("x")
-    )
-    train, judged = matrix.filter("NOT judge"), matrix.filter("judge")
+    matrix = stage(rows.select("judge", "label", marks.alias("marks")), "rules")
+    train, judged = matrix.filter("NOT judge").select("label", array_to_vector("marks").alias("x")), matrix.filter("judge")
     best = None
     for penalty in PENALTIES:
         model = LogisticRegression(
             featuresCol="x", labelCol="label", regParam=penalty, elasticNetParam=1.0, standardization=False, maxIter=50
         ).fit(train)
         found = Ensemble(float(model.intercept), tuple((r, float(w)) for r, w in zip(rules, model.coefficients.toArray()) if w))
-        # Log loss of the labels on rows that fitted nothing.
-        p = F.greatest(F.least(vector_to_array("probability")[1], F.lit(1 - 1e-9)), F.lit(1e-9))
+        # Log loss of the labels on rows that fitted nothing. From the weights, as a fitted model's own column takes its
+        # training summary to the tasks, and that the session, which cannot always be sent.
+        weighed = F.zip_with("marks", F.lit([float(w) for w in model.coefficients.toArray()]), lambda mark, w: mark * w)
+        odds = F.aggregate(weighed, F.lit(float(model.intercept)), lambda total, x: total + x)
+        p = F.greatest(F.least(1 / (1 + F.exp(-odds)), F.lit(1 - 1e-9)), F.lit(1e-9))
         chosen = F.when(F.col("label") > 0, p).otherwise(1 - p)
-        loss = model.transform(judged).agg(F.avg(-F.log(chosen))).first()[0]
+        loss = judged.agg(F.avg(-F.log(chosen))).first()[0]
         if best is None or (loss is not None and loss < best[0]):
             best = (loss if loss is not None else float("inf"), found)
     return best[1]
