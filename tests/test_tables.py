@@ -1,6 +1,7 @@
 import warnings
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.panels import rows_of, small
@@ -95,3 +96,13 @@ def test_packed_bronze_is_read_like_plain(spark, tmp_path):
     path = write_bronze(df, "raw/train.txt", str(tmp_path), compression="gzip")
     assert list((tmp_path / "bronze_train").glob("part-*.csv.gz"))
     assert read_csv(spark, path).count() == 8
+
+
+def test_readings_of_many_values_get_a_dictionary(spark, tmp_path):
+    """30,000 values in 200,000 rows: 15 bits and a share of the dictionary a row, not eight bytes."""
+    value = F.sqrt(F.xxhash64(F.col("id") % 30_000).cast("double") ** 2 + 1)
+    df = spark.range(0, 200_000, 1, 1).select(F.lit(1).alias("unit"), F.col("id").cast("int").alias("cycle"), value.alias("x"))
+    back = write_parquet(df.drop("cycle"), str(tmp_path / "packed"))
+    size = sum(f.stat().st_size for f in (tmp_path / "packed").glob("*.parquet"))
+    assert size < 200_000 * 8 / 2
+    assert back.agg(F.count_distinct("x"), F.count("x")).first() == (30_000, 200_000)

@@ -17,7 +17,7 @@ from wearcurve.models import forest, registry, ridge
 from wearcurve.operators.metrics import evaluate, select_model, stack_predictions
 from wearcurve.operators.split import assign_folds, assign_split, split_sizes
 from wearcurve.schema import KEYS, LABEL, SEED, TRAIN_SHARE, VAL_SHARE, feature_columns, require_columns
-from wearcurve.sources.sinks import shared_dir, write_parquet
+from wearcurve.sources.sinks import PACKED, shared_dir, write_parquet
 
 
 @dataclass(frozen=True)
@@ -51,7 +51,7 @@ def prepare(
     rows_path = posixpath.join(path, "rows")
     is_train = F.col("split") == "train"
     folded = assign_folds(assign_split(gold, seed=seed, shares=shares), folds, among=is_train)
-    folded.write.mode("overwrite").partitionBy("split").parquet(rows_path)
+    folded.write.mode("overwrite").options(**PACKED).partitionBy("split").parquet(rows_path)
     rows = spark.read.parquet(rows_path)
     own = [c for c in rows.columns if c not in ("split", "fold")]
     return Prepared(rows.drop("fold"), rows.filter(is_train).select(*own, "split", "fold"), features, seed, shares)
