@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.panels import fleet, rows_of
 from wearcurve.operators.stores import join_stores
@@ -187,3 +188,22 @@ def test_co_located_stores_join_without_an_exchange(spark, layers):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
     columns = sorted(joined.columns)
     assert rows_of(joined.select(columns), "unit", "cycle") == rows_of(apart.select(columns), "unit", "cycle")
+
+
+def test_stores_are_dealt_before_they_are_scaled(spark, layers):
+    """What is moved holds no scaled reading and nothing that follows from the row itself; the stores are those of gold."""
+    from wearcurve.operators.features import ROW_FEATURES
+    from wearcurve.operators.stores import write_co_located
+    from wearcurve.plans.medallion import build_gold
+
+    cleaned = layers[0]["cleaned"].withColumn("T30", F.when(F.col("cycle") % 7 != 0, F.col("T30")))
+    found = build_gold(spark, cleaned)
+    assert set(found.full.columns) - set(found.narrow.columns) == set(ROW_FEATURES)
+    stored = spark.read.parquet(found.narrow.inputFiles()[0].rsplit("/", 1)[0])
+    assert not set(ROW_FEATURES) & set(stored.columns)
+    features, labels = write_co_located(found.narrow, 4, finish=found.scaled)
+    assert features.columns == found.features.columns and features.dtypes == found.features.dtypes
+    got, want = (df.toPandas().sort_values(["unit", "cycle"]).to_numpy(float) for df in (features, found.features))
+    assert np.isnan(want).any()
+    np.testing.assert_allclose(got, want, atol=1e-9)
+    assert rows_of(labels, "unit", "cycle") == rows_of(found.labels, "unit", "cycle")

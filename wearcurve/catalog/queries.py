@@ -23,6 +23,7 @@ from wearcurve.catalog.staging import (
     TRIAL_DATE,
     cleaned_summary,
     cleaned_table,
+    gold,
     gold_table,
     once,
     prepared,
@@ -406,8 +407,8 @@ def feature_label_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def co_located_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both stores in the same buckets of the row key; their join has no exchange."""
-    gold = gold_table(spark, sf_dir)
-    features_, labels = stores.write_co_located(gold, stores.buckets_for(gold))
+    found = gold(spark, sf_dir)
+    features_, labels = stores.write_co_located(found.narrow, stores.buckets_for(found.narrow), finish=found.scaled)
     return tidy(stores.join_stores(features_, labels), SCALED)
 
 

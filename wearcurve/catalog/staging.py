@@ -13,10 +13,10 @@ from wearcurve.models.forest import FOREST_GRID
 from wearcurve.models.ridge import RidgeSearch, search
 from wearcurve.operators.normalize import fill_missing
 from wearcurve.operators.summary import unit_summary
-from wearcurve.plans.medallion import build_gold, clean
+from wearcurve.plans.medallion import Gold, build_gold, clean
 from wearcurve.plans.training import Prepared, Trained, prepare, train
 from wearcurve.schema import feature_columns
-from wearcurve.sources.sinks import shared_dir
+from wearcurve.sources.sinks import shared_dir, write_parquet
 
 # The first point of the library's grid, for the queries of a whole training run.
 FOREST_POINT = {name: values[:1] for name, values in FOREST_GRID.items()}
@@ -39,7 +39,7 @@ def staged(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
 
     def write() -> str:
         path = shared_dir(spark, name) + ".parquet"
-        build().write.mode("overwrite").parquet(path)
+        write_parquet(build(), path)
         return path
 
     return spark.read.parquet(once(spark, sf_dir, name, write))
@@ -53,9 +53,13 @@ def cleaned_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged(spark, sf_dir, "cleaned_summary", lambda: unit_summary(cleaned_table(spark, sf_dir)))
 
 
-def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gold(spark: SparkSession, sf_dir: str) -> Gold:
     """Gold as it is scaled from its one written table, and not written again."""
-    return once(spark, sf_dir, "gold", lambda: build_gold(spark, cleaned_table(spark, sf_dir)).full)
+    return once(spark, sf_dir, "gold", lambda: build_gold(spark, cleaned_table(spark, sf_dir)))
+
+
+def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold(spark, sf_dir).full
 
 
 def source_panels(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -90,8 +94,8 @@ def prepared(spark: SparkSession, sf_dir: str) -> Prepared:
     """Scaled rows with missing readings at the fleet mean, so that no row is lost to a regressor."""
 
     def make() -> Prepared:
-        gold = gold_table(spark, sf_dir)
-        return prepare(spark, fill_missing(gold, feature_columns(gold)))
+        full = gold_table(spark, sf_dir)
+        return prepare(spark, fill_missing(full, feature_columns(full)))
 
     return once(spark, sf_dir, "prepared", make)
 

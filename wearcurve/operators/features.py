@@ -34,8 +34,8 @@ def add_rul(df: DataFrame, *, unit: str = "unit", cycle: str = "cycle", **blocks
     return rows.withColumn(LABEL, F.col("_last") - F.col(cycle)).drop("_last")
 
 
-def _lifecycle(cycle: str) -> list[Column]:
-    share = F.col(cycle).cast("double") / F.col("_last").cast("double")
+def _lifecycle(cycle: str, last: Column | None = None) -> list[Column]:
+    share = F.col(cycle).cast("double") / (F.col("_last") if last is None else last).cast("double")
     return [share.alias("cycle_norm"), (F.lit(1.0) - share).alias("health_index")]
 
 
@@ -45,6 +45,15 @@ def add_lifecycle(df: DataFrame, *, unit: str = "unit", cycle: str = "cycle", **
     return rows.select("*", *_lifecycle(cycle)).drop("_last")
 
 
+def row_columns(df: DataFrame, ratios: Mapping[str, tuple[str, str]] = RATIOS, *, cycle: str = "cycle") -> list[Column]:
+    """The features of ``engineer`` that follow from a row's own readings, cycle and label: they need not be moved or kept."""
+    return [*ratio_columns(df, ratios), *_lifecycle(cycle, F.col(LABEL) + F.col(cycle))]
+
+
+#: Names of ``row_columns``.
+ROW_FEATURES = (*RATIOS, "cycle_norm", "health_index")
+
+
 def _trend_windows(df: DataFrame, sensors: Sequence[str], rows: int, means: bool = True, deltas: bool = True):
     types = {f.name: f.dataType for f in df.schema}
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import posixpath
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from wearcurve.operators import stores
 from wearcurve.operators.conform import cast_columns, drop_constant, drop_correlated, shared_units, shift_units, source_offsets
-from wearcurve.operators.features import engineer
+from wearcurve.operators.features import ROW_FEATURES, engineer, row_columns
 from wearcurve.operators.normalize import apply_metadata, fit_metadata
 from wearcurve.operators.positions import bounded
 from wearcurve.operators.quality import duplicate_keys, integrity
@@ -43,6 +43,9 @@ class Gold:
     labels: DataFrame
     metadata: DataFrame
     keys: Keys
+    #: Rows before scaling, without what follows from the row itself; ``scaled`` adds that and scales.
+    narrow: DataFrame
+    scaled: Callable[[DataFrame], DataFrame]
 
 
 def build_gold(
@@ -60,20 +63,33 @@ def build_gold(
     The unscaled features are written first: statistics and scaling both need them, and this way the
     panel is shuffled and sorted once, and the four outputs are plain scans of that table. That job runs
     here in any case: the table goes to ``out`` or, without one, to the shared folder, where ``release``
-    finds it, and only the outputs are then left lazy.
+    finds it, and only the outputs are then left lazy. In the shared folder it holds no ratios and lifecycle features, which
+    are computed where it is read.
 
     ``fit_on`` restricts the rows behind the statistics: a condition, or the name of a split such as
     ``"train"``, drawn with ``seed`` as training draws it. By default they come from all rows, held-out units included.
     """
     staging = out or shared_dir(spark, "gold")
     engineered = engineer(load(spark, source), include_lifecycle=include_lifecycle, **blocks)
-    panel, keys = write_counted(engineered, posixpath.join(staging, "engineered.parquet"))
+    columns = engineered.columns
+
+    def widened(narrow: DataFrame) -> DataFrame:
+        return narrow.select("*", *row_columns(narrow)).select(*columns)
+
+    kept = engineered if out else engineered.drop(*ROW_FEATURES)
+    panel, keys = write_counted(kept, posixpath.join(staging, "engineered.parquet"))
+    narrow = panel.drop(*ROW_FEATURES)
+    panel = panel if out else widened(panel)
     features = feature_columns(panel)
     fitted = assign_split(panel, seed=seed) if isinstance(fit_on, str) else panel
     metadata = fit_metadata(fitted, features, F.col("split") == fit_on if isinstance(fit_on, str) else fit_on)
+
+    def scaled(narrow: DataFrame) -> DataFrame:
+        return apply_metadata(widened(narrow), metadata, features)
+
     if out is None:
-        full = apply_metadata(panel, metadata, features)
-        return Gold(full, stores.feature_store(full), stores.label_store(full), metadata, keys)
+        full = scaled(narrow)
+        return Gold(full, stores.feature_store(full), stores.label_store(full), metadata, keys, narrow, scaled)
 
     metadata_path = posixpath.join(out, "feature_metadata.csv")
     in_order = F.array_position(F.array(*[F.lit(c) for c in features]), F.col("feature"))
@@ -87,6 +103,8 @@ def build_gold(
         write_parquet(stores.label_store(full), posixpath.join(out, "label_store.parquet")),
         metadata,
         keys,
+        narrow,
+        scaled,
     )
 
 
