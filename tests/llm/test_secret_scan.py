@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from wearcurve.llm import secret_scan
 from wearcurve.llm.work import stage
 
@@ -120,3 +122,17 @@ def test_one_class(spark):
     assert {r["value"] for r in secret_scan.findings(docs, no).collect()} == {"a1b2c3d4e5f60718", "q1w2e3r4"}
     plain = spark.createDataFrame([(1, "internationalisation")], "doc_id long, text string")
     assert secret_scan.findings(plain).count() == 0
+
+
+def test_rows_counted_before_in_the_session(spark):
+    """An Observation makes the session one that cannot be sent; the forest's columns must not take it to the tasks."""
+    from pyspark.sql import Observation
+
+    seen = Observation("seen before secrets")
+    assert spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).count() == 3 and seen.get["n"] == 3
+    rng = range(40)
+    columns = ", ".join(f"{c} double" for c in secret_scan.FEATURES)
+    rows = [(i, i, i, str(i), i % 2 == 0, *[float(i % 2 + j) for j in range(len(secret_scan.FEATURES))]) for i in rng]
+    found = spark.createDataFrame(rows, f"doc_id long, text_hash long, start int, value string, is_secret boolean, {columns}")
+    scored = secret_scan.train(found)(found)
+    assert all((r["probability"] > 0.5) == r["is_secret"] for r in scored.collect())

@@ -9,13 +9,14 @@ credential word and its value stand at most 16 letters of a name and a few space
 
 from __future__ import annotations
 
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wearcurve.llm.work import sample_by_hash, stage
+from wearcurve.sources.sinks import shared_dir
 
 CANDIDATE = r"[A-Za-z0-9+/_\-]{12,}={0,2}"
 #: Characters kept of the text on either side.
@@ -160,7 +161,11 @@ def train(seen: DataFrame, label: str = "is_secret", fit_rows: int = FIT_ROWS):
     forest = RandomForestClassifier(
         featuresCol="_features", numTrees=TREES, maxDepth=DEPTH, seed=SEED, probabilityCol="_p", rawPredictionCol="_raw", predictionCol="_class"
     )
-    model = forest.fit(vector.transform(sample))
+    # Stored and read again: a fitted model takes its training summary to the tasks, and that the session, which cannot be
+    # sent once a query has counted rows with an Observation.
+    path = shared_dir(sample.sparkSession, "secret-forest")
+    forest.fit(vector.transform(sample)).write().overwrite().save(path)
+    model = RandomForestClassificationModel.load(path)
 
     def score(rows: DataFrame) -> DataFrame:
         scored = model.transform(vector.transform(rows))
